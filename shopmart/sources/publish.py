@@ -53,7 +53,13 @@ class Publisher:
 
     def read(self, table: str, parts: list[str] | None = None) -> DataFrame:
         """The newest version of a table, or only some of its parts."""
-        folders = self.parts(table)
+        return self.read_at(self.parts(table), parts)
+
+    def read_at(
+        self, location: str | dict[str, str], parts: list[str] | None = None
+    ) -> DataFrame:
+        """A table, or some of its parts, from the folders it was written to."""
+        folders = location if isinstance(location, dict) else {WHOLE: location}
         # Columns are only ever appended, so the folder written last has all.
         last = max(folders.values(), key=self._version_of)
         schema = self.spark.read.parquet(last).schema
