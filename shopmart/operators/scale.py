@@ -1,10 +1,9 @@
 """Global ranks, tiles and running totals without a single-task window.
 
-Spark runs a window without partition keys in one task.  Here the rows are
-range-partitioned on the full sort key and sorted inside each partition; a
-row's global position is its position in its partition plus the number of rows
-in earlier partitions.  Only one small row per partition (and group) is ever
-combined in one place.
+Spark runs a window without partition keys in one task.  Here the sort keys are
+range-partitioned and sorted inside each partition; a row's global position is
+its position in its partition plus the number of rows in earlier partitions.
+Only one small row per partition (and group) is ever combined in one place.
 
 The sorted rows are written to the shared folder once: positions and partition
 counts must come from the same partitioning, and a recomputation after a lost
@@ -103,35 +102,72 @@ def global_position(
     )
 
 
-def tile_of(row_number: Column, rows: Column, tiles: int) -> Column:
-    """The ``ntile(tiles)`` bucket of a 1-based position among ``rows`` rows.
+def _tile_ends(rows: int, tiles: int) -> list[int]:
+    """0-based positions of the last row of every ``ntile`` bucket but the last used.
 
     The first ``rows % tiles`` buckets hold one row more than the others.
     """
-    small = F.floor(rows / tiles)
-    larger = rows % tiles
-    position = row_number - 1
-    in_larger = larger * (small + 1)
-    # greatest(): with fewer rows than tiles no bucket has the smaller size 0.
-    tile = F.when(position < in_larger, F.floor(position / (small + 1))).otherwise(
-        larger + F.floor((position - in_larger) / F.greatest(small, F.lit(1)))
-    )
-    return (tile + 1).cast("int")
+    small, larger = divmod(rows, tiles)
+    ends, end = [], 0
+    for tile in range(tiles):
+        end += small + (tile < larger)
+        ends.append(end - 1)
+    return sorted({e for e in ends if 0 <= e < rows - 1})
+
+
+def _after(row: Sequence[Column], cut: Sequence[Column], ascending: Sequence[bool]) -> Column:
+    """Whether ``row`` sorts strictly after ``cut``."""
+    result, equal = F.lit(False), F.lit(True)
+    for mine, theirs, up in zip(row, cut, ascending, strict=True):
+        result = result | (equal & ((mine > theirs) if up else (mine < theirs)))
+        equal = equal & (mine == theirs)
+    return result
+
+
+def tile_cuts(
+    df: DataFrame, tiles: int, order: Sequence[tuple[str, bool]], label: str = "cuts"
+) -> DataFrame:
+    """One row, ``cuts``: the last row of every bucket of ``ntile(tiles)`` over ``df``.
+
+    ``order`` lists (column, ascending); the columns must be filled and end with
+    a unique one.  Only those columns are sorted.  A bucket number is then a
+    comparison with at most ``tiles - 1`` values, so the full rows are neither
+    shuffled nor joined.
+    """
+    names = [name for name, _ in order]
+    keys = [F.col(name).asc() if up else F.col(name).desc() for name, up in order]
+    rows = _sorted_rows(df.select(*names), keys, label)
+    # One row per range partition.
+    sizes = {r[_PARTITION]: r["count"] for r in rows.groupBy(_PARTITION).count().collect()}
+    wanted, start = F.lit(False), 0
+    ends = _tile_ends(sum(sizes.values()), tiles)
+    for partition in sorted(sizes):
+        local = [e - start for e in ends if start <= e < start + sizes[partition]]
+        start += sizes[partition]
+        if local:
+            wanted = wanted | ((F.col(_PARTITION) == partition) & F.col(_LOCAL).isin(local))
+    # At most tiles - 1 rows.
+    return rows.filter(wanted).agg(F.collect_list(F.struct(*names)).alias("cuts"))
+
+
+def tile_number(order: Sequence[tuple[str, bool]], cuts: Column) -> Column:
+    """The bucket of the current row, given :func:`tile_cuts` of the same ``order``."""
+    row = [F.col(name) for name, _ in order]
+    ascending = [up for _, up in order]
+    passed = F.filter(cuts, lambda cut: _after(row, [cut[name] for name, _ in order], ascending))
+    return F.size(passed) + 1
 
 
 def global_ntile(
-    df: DataFrame,
-    tiles: int,
-    order: Sequence[Column],
-    name: str,
-    within: Sequence[str] = (),
+    df: DataFrame, tiles: int, order: Sequence[tuple[str, bool]], name: str
 ) -> DataFrame:
-    """``ntile(tiles) over (partition by within order by order)`` as column ``name``."""
-    placed = global_position(df, order, within, label=name)
-    return placed.select(
-        *[F.col(c) for c in df.columns],
-        tile_of(F.col("row_number"), F.col("group_rows"), tiles).alias(name),
-    )
+    """``ntile(tiles) over (order by order)`` as column ``name``.
+
+    ``df`` is read twice; hand in a written table where it is expensive.
+    """
+    cuts = tile_cuts(df, tiles, order, label=name).withColumnRenamed("cuts", "__cuts")
+    tiled = df.crossJoin(F.broadcast(cuts))
+    return tiled.withColumn(name, tile_number(order, F.col("__cuts"))).drop("__cuts")
 
 
 def over_all(aggregate: Column) -> Column:

@@ -16,6 +16,7 @@ from shopmart.functions.calendar import month_start, months_between_starts
 from shopmart.functions.numeric import mean, percent, ratio, true_percent
 from shopmart.operators.scale import global_ntile, global_position, over_all
 from shopmart.plans.marts import customer_flags
+from shopmart.session import materialize
 
 
 def kpis(fct_orders: DataFrame, *by: str) -> DataFrame:
@@ -277,9 +278,9 @@ def seller_concentration(fct_order_items: DataFrame, tiles: int = 10) -> DataFra
         .groupBy("seller_id")
         .agg(F.sum("revenue").alias("revenue_brl"))
     )
-    order = [F.col("revenue_brl").desc_nulls_first(), F.col("seller_id").asc()]
+    order = (("revenue_brl", False), ("seller_id", True))
     deciles = (
-        global_ntile(by_seller, tiles, order, "revenue_decile")
+        global_ntile(materialize(by_seller, "seller_revenue"), tiles, order, "revenue_decile")
         .groupBy("revenue_decile")
         .agg(F.count("*").alias("sellers"), F.sum("revenue_brl").alias("revenue_brl"))
     )

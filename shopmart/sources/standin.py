@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopmart.tables import TableSet
 
@@ -28,11 +29,21 @@ _FINAL_STATUS = f"""case
 TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table; its footer is asked for the schema only once per process."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def source_tables(spark: SparkSession, folder: str) -> TableSet:
     """The parquet tables of one folder."""
 
     def reader(name: str) -> Callable[[], DataFrame]:
-        return lambda: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+        return lambda: _read(spark, f"{folder.rstrip('/')}/{name}.parquet")
 
     return TableSet({name: reader(name) for name in TABLES})
 
