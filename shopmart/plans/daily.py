@@ -82,7 +82,7 @@ def take_snapshot(warehouse: Warehouse, raw_orders: DataFrame, as_of: str) -> No
 
 
 def build_intermediate(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The intermediate models; the one four others read is written once."""
+    """The intermediate models; those that several others read are written once."""
     items = intermediate.items_per_order(stg["order_items"])
     payments = intermediate.payments_per_order(stg["order_payments"])
     reviews = intermediate.reviews_per_order(stg["order_reviews"])
@@ -96,7 +96,9 @@ def build_intermediate(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "reviews_per_order": reviews,
         "orders_enriched": orders,
         "customer_orders": intermediate.customer_orders(orders),
-        "zip_code_locations": intermediate.zip_code_locations(stg["geolocation"]),
+        "zip_code_locations": materialize(
+            intermediate.zip_code_locations(stg["geolocation"]), "zip_code_locations"
+        ),
     }
 
 

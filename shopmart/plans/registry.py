@@ -28,6 +28,7 @@ from shopmart.functions.text import clean_city_name
 from shopmart.operators import checks as dq
 from shopmart.operators import sampling, snapshot, upsert
 from shopmart.plans import analyses, dashboard, intermediate, marts, quality, staging
+from shopmart.session import materialize
 from shopmart.sources import landing, standin
 
 STATES = ("NATION_1", "NATION_2", "NATION_3")
@@ -76,7 +77,10 @@ class Models:
 
     @cached_property
     def locations(self) -> DataFrame:
-        return intermediate.zip_code_locations(self.stg["geolocation"])
+        """Written, so that joins know its true size and broadcast it only if small."""
+        return materialize(
+            intermediate.zip_code_locations(self.stg["geolocation"]), "zip_code_locations"
+        )
 
     @cached_property
     def dim_customers(self) -> DataFrame:
@@ -119,14 +123,14 @@ def query(function: Query) -> Query:
 
 @query
 def load_audit(m: Models) -> DataFrame:
+    """Rows and hash of every stored file of the source tables."""
     files = landing.list_files(m.spark, m.folder)
-    wanted = [f"{name}.parquet" for name in standin.TABLES]
-    # One row per listed file.
-    paths = {
-        r["file_name"].removesuffix(".parquet"): r["path"]
-        for r in files.filter(F.col("file_name").isin(*wanted)).collect()
-    }
-    return landing.audit(m.spark, m.folder, paths, m.source).drop("loaded_at")
+    table = F.regexp_extract("file_name", r"^(.*)\.parquet$", 1)
+    named = files.withColumn("table_name", table).filter(F.col("table_name").isin(*m.source))
+    hashed = landing.inspect_files(named)
+    return hashed.join(landing.row_counts(m.source), "table_name").select(
+        "file_name", "table_name", "row_count", "sha256"
+    )
 
 
 @query
@@ -249,7 +253,7 @@ def customer_order_history(m: Models) -> DataFrame:
 
 @query
 def zip_centroids(m: Models) -> DataFrame:
-    return _rounded_coordinates(m.locations)
+    return _rounded_coordinates(intermediate.zip_code_locations(m.stg["geolocation"]))
 
 
 def _rounded_coordinates(df: DataFrame) -> DataFrame:

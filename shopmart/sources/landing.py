@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import hashlib
 from collections.abc import Iterator, Mapping
 from functools import reduce
@@ -10,7 +11,9 @@ import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from shopmart.session import materialize
 from shopmart.sources.contracts import (
     MULTILINE_TABLES,
     RAW_COLUMNS,
@@ -23,114 +26,135 @@ from shopmart.sources.publish import Publisher
 
 # Stands for a quoted empty field while reading, so that "" is not NULL.
 _QUOTED_EMPTY = "\u0000quoted-empty\u0000"
-_HASH_CHUNK = 1 << 20
+_CHUNK = 1 << 20
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``path, file_name, length`` of the files below ``folder``; reads no content."""
+    """``path, file_name, parent, length`` of the files below ``folder``; reads no content."""
+    steps = F.split("path", "/")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(folder)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+        .select(
+            "path",
+            F.element_at(steps, -1).alias("file_name"),
+            F.element_at(steps, -2).alias("parent"),
+            "length",
+        )
     )
 
 
+def source_files(spark: SparkSession, folder: str, files: SourceFiles = SourceFiles()) -> DataFrame:
+    """Add ``table_name`` to the listed files; other files are left out.
+
+    What a table's file name refers to may be one file or a folder of files.
+    """
+    by_name = F.create_map(*[F.lit(x) for t, n in files.all().items() for x in (n, t)])
+    table = F.coalesce(by_name[F.col("file_name")], by_name[F.col("parent")])
+    hidden = F.col("file_name").rlike("^[._]")
+    listed = list_files(spark, folder).filter(~hidden).withColumn("table_name", table)
+    return listed.filter(F.col("table_name").isNotNull())
+
+
 def check_source_files(
     spark: SparkSession, folder: str, files: SourceFiles = SourceFiles()
-) -> dict[str, str]:
-    """Path by table, or an error that lists every missing file."""
-    expected = files.all()
-    # One row per expected file comes back.
-    found = {
-        r["file_name"]: r["path"]
-        for r in list_files(spark, folder)
-        .filter(F.col("file_name").isin(*expected.values()))
-        .select("file_name", "path")
-        .collect()
-    }
-    missing = [name for name in expected.values() if name not in found]
+) -> DataFrame:
+    """The source files, or an error that lists every table whose file is missing."""
+    found_files = source_files(spark, folder, files)
+    # At most one row per expected table.
+    found = {r["table_name"] for r in found_files.select("table_name").distinct().collect()}
+    missing = [name for table, name in files.all().items() if table not in found]
+    # A scan skips files without content, so tell those from absent ones.
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    empty = {path.rsplit("/", 1)[-1] for path in listed.inputFiles()} & set(missing)
+    if empty:
+        raise ValueError(f"{', '.join(sorted(empty))} is empty")
     if missing:
         raise FileNotFoundError(f"missing files in {folder}: {', '.join(missing)}")
-    return {table: found[name] for table, name in expected.items()}
+    return found_files
+
+
+def _inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """SHA-256 and first record of each file, read as a stream of small chunks."""
+    for batch in batches:
+        digests, headers = [], []
+        for path in batch["path"]:
+            uri = path if "://" in path else path.replace("file:", "file://", 1)
+            filesystem, inner = pafs.FileSystem.from_uri(uri)
+            digest, first = hashlib.sha256(), b""
+            with filesystem.open_input_stream(inner) as stream:
+                while chunk := stream.read(_CHUNK):
+                    digest.update(chunk)
+                    if b"\n" not in first:
+                        first += chunk.split(b"\n", 1)[0] + (b"\n" if b"\n" in chunk else b"")
+            digests.append(digest.hexdigest())
+            line = first.decode("utf-8-sig", errors="replace").rstrip("\r\n")
+            headers.append(next(csv.reader([line]), []))
+        yield batch.assign(sha256=digests, header=headers)
+
+
+def inspect_files(files: DataFrame) -> DataFrame:
+    """Add ``sha256`` and ``header`` to every file; files are spread over the tasks."""
+    schema = T.StructType(
+        [
+            *files.schema.fields,
+            T.StructField("sha256", T.StringType()),
+            T.StructField("header", T.ArrayType(T.StringType())),
+        ]
+    )
+    spread = files.repartition(files.sparkSession.sparkContext.defaultParallelism, "path")
+    return spread.mapInPandas(_inspect, schema)
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file, without byte-order mark; only the first line is parsed."""
-    first = spark.read.option("escape", '"').csv(path).schema
-    name = path.rsplit("/", 1)[-1]
-    if not first.fields:
-        return check_identifiers(name, [])
-    line = spark.read.schema(first).option("escape", '"').csv(path).first()
-    # Files written on some systems start with a byte-order mark.
-    header = [(value or "").removeprefix("\ufeff") for value in line]
-    return check_identifiers(name, header)
-
-
-def read_raw(spark: SparkSession, path: str, table: str, header: list[str]) -> DataFrame:
-    """One raw table, all columns text.
+    """Column names of a CSV file, without byte-order mark."""
+    first = inspect_files(list_files(spark, path)).first()
+    return check_identifiers(path.rsplit("/", 1)[-1], first["header"] if first else [])
 
-    A row with too many or too few fields fails the job.
-    """
-    multiline = table in MULTILINE_TABLES
-    df = (
+
+def _scan(spark: SparkSession, paths: list[str], table: str, header: list[str]) -> DataFrame:
+    return (
         spark.read.schema(raw_schema(header))
         .option("header", "true")
-        # The header comes from this very file and may have been trimmed.
+        # The header comes from these very files and may have been trimmed.
         .option("enforceSchema", "true")
         .option("mode", "FAILFAST")
-        .option("multiLine", str(multiline).lower())
+        .option("multiLine", str(table in MULTILINE_TABLES).lower())
         .option("escape", '"')
         .option("emptyValue", _QUOTED_EMPTY)
-        .csv(path)
+        .csv(paths)
     )
+
+
+def read_raw(spark: SparkSession, paths: list[str], table: str, header: list[str]) -> DataFrame:
+    """One raw table, all columns text.
+
+    A row with too many or too few fields fails the job.
+    """
     columns = [
         F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)).alias(c) for c in header
     ]
-    df = df.select(*columns)
-    if multiline:
+    df = _scan(spark, paths, table, header).select(*columns)
+    if table in MULTILINE_TABLES:
         # A file with line breaks inside fields is read by one task.
         df = df.repartition(spark.sparkContext.defaultParallelism)
     return df
 
 
-def _sha256(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            uri = path if "://" in path else path.replace("file:", "file://", 1)
-            filesystem, inner = pafs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(inner) as stream:
-                while chunk := stream.read(_HASH_CHUNK):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)
-
-
-def file_hashes(files: DataFrame) -> DataFrame:
-    """Add the SHA-256 of every file: one file at a time per task, streamed."""
-    schema = files.schema.add("sha256", "string")
-    spread = files.repartition(files.sparkSession.sparkContext.defaultParallelism, "path")
-    return spread.mapInPandas(_sha256, schema)
-
-
-def audit(
-    spark: SparkSession, folder: str, paths: dict[str, str], tables: Mapping[str, DataFrame]
+def _rows_per_file(
+    spark: SparkSession, paths: list[str], table: str, header: list[str], written: DataFrame
 ) -> DataFrame:
-    """``file_name, table_name, row_count, sha256, loaded_at``, one row per file."""
-    counts = [
-        df.agg(F.count("*").alias("row_count")).select(
-            F.lit(paths[table]).alias("path"), F.lit(table).alias("table_name"), "row_count"
-        )
-        for table, df in tables.items()
-    ]
-    files = list_files(spark, folder).filter(F.col("path").isin(*paths.values()))
+    """``path, row_count``; only a table made of several files is scanned again."""
+    if len(paths) == 1:
+        counted = written.agg(F.count("*").alias("row_count"))
+        return counted.select(F.lit(paths[0]).alias("path"), "row_count")
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
     return (
-        file_hashes(files)
-        .join(reduce(DataFrame.unionByName, counts), "path")
-        .select("file_name", "table_name", "row_count", "sha256")
-        .withColumn("loaded_at", F.current_timestamp())
+        _scan(spark, paths, table, header)
+        .select(path.alias("path"))
+        .groupBy("path")
+        .agg(F.count("*").alias("row_count"))
     )
 
 
@@ -145,19 +169,40 @@ def load_raw(
     Nothing is visible to readers before all tables and the audit are written,
     so a failed load leaves the previous one in place.
     """
-    paths = check_source_files(spark, folder, files)
+    found = materialize(
+        inspect_files(check_source_files(spark, folder, files)).drop("parent", "length"),
+        "source_files",
+    )
     version = publisher.next_version()
-    locations = {}
-    for table, path in paths.items():
-        header = read_header(spark, path)
+    locations: dict[str, str] = {}
+    counts = []
+    # The file list: names only, never content.
+    listed = found.select("table_name", "file_name", "path", "header").collect()
+    for table in RAW_COLUMNS:
+        mine = [r for r in listed if r["table_name"] == table]
+        headers = [check_identifiers(r["file_name"], r["header"]) for r in mine]
+        for other in headers[1:]:
+            check_same_columns(table, headers[0], other)
+        header = headers[0]
         if publisher.exists(table):
             check_same_columns(table, publisher.read(table).columns, header)
         else:
             check_same_columns(table, sorted(RAW_COLUMNS[table]), sorted(header))
-        locations[table] = publisher.write(read_raw(spark, path, table, header), table, version)
-    written = {table: spark.read.parquet(path) for table, path in locations.items()}
-    record = audit(spark, folder, paths, written)
-    locations["load_audit"] = publisher.write(record.coalesce(1), "load_audit", version)
+        paths = [r["path"] for r in mine]
+        locations[table] = publisher.write(read_raw(spark, paths, table, header), table, version)
+        written = spark.read.parquet(locations[table])
+        counts.append(_rows_per_file(spark, paths, table, header, written))
+    audit = (
+        found.join(reduce(DataFrame.unionByName, counts), "path", "left")
+        .select(
+            "file_name",
+            "table_name",
+            F.coalesce("row_count", F.lit(0)).alias("row_count"),
+            "sha256",
+        )
+        .withColumn("loaded_at", F.current_timestamp())
+    )
+    locations["load_audit"] = publisher.write(audit.coalesce(1), "load_audit", version)
     publisher.commit(version, locations)
     return {table: publisher.read(table) for table in RAW_COLUMNS}
 

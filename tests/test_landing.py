@@ -40,6 +40,13 @@ def test_empty_file_is_refused(spark, tmp_path):
         landing.read_header(spark, str(path))
 
 
+def test_load_names_the_empty_file(spark, tmp_path):
+    folder = write_landing(tmp_path / "in")
+    (folder / "sellers.csv").write_text("")
+    with pytest.raises(ValueError, match="sellers.csv is empty"):
+        landing.check_source_files(spark, str(folder))
+
+
 def test_all_missing_files_are_listed(spark, tmp_path):
     (tmp_path / "orders.csv").write_text("order_id\n")
     with pytest.raises(FileNotFoundError) as caught:
@@ -63,7 +70,7 @@ def test_load_keeps_text_line_breaks_quotes_and_leading_zeros(spark, tmp_path):
 def test_quoted_empty_is_text_and_unquoted_empty_is_null(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text('a,b\n"",1\n,2\n')
-    rows = landing.read_raw(spark, str(path), "sellers", ["a", "b"]).orderBy("b").collect()
+    rows = landing.read_raw(spark, [str(path)], "sellers", ["a", "b"]).orderBy("b").collect()
     assert [r.a for r in rows] == ["", None]
 
 
@@ -72,7 +79,7 @@ def test_ragged_rows_fail(spark, tmp_path, row):
     path = tmp_path / "x.csv"
     path.write_text(f"a,b\n1,2\n{row}\n")
     with pytest.raises(Exception, match="MALFORMED|malformed"):
-        landing.read_raw(spark, str(path), "sellers", ["a", "b"]).collect()
+        landing.read_raw(spark, [str(path)], "sellers", ["a", "b"]).collect()
 
 
 def test_reload_replaces_tables_and_audits_every_file(spark, tmp_path):
@@ -130,3 +137,19 @@ def test_export_writes_booleans_nulls_and_quotes(spark, frame, tmp_path):
         '1,true,,"say ""hi"""',
         '2,false,x,"a,b"',
     ]
+
+
+def test_a_table_may_be_a_folder_of_files(spark, tmp_path):
+    folder = write_landing(tmp_path / "in")
+    orders = (folder / "orders.csv").read_text().splitlines()
+    (folder / "orders.csv").unlink()
+    (folder / "orders.csv").mkdir()
+    for n, part in enumerate((orders[1:3], orders[3:])):
+        text = "\n".join([orders[0], *part]) + "\n"
+        (folder / "orders.csv" / f"part-{n}.csv").write_text(text)
+    publisher = Publisher(spark, str(tmp_path / "raw"))
+    raw = landing.load_raw(spark, str(folder), publisher)
+    assert raw["orders"].count() == len(RAW["orders"])
+    audit = {r.file_name: r.row_count for r in publisher.history("load_audit").collect()}
+    assert audit["part-0.csv"] == 2 and audit["part-1.csv"] == len(RAW["orders"]) - 2
+    assert len(audit) == len(RAW_COLUMNS) + 1
