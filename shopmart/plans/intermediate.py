@@ -16,10 +16,6 @@ from shopmart.functions.numeric import MONEY_TOTAL, coordinate_mean
 DELIVERED = "delivered"
 
 
-def _zero_if_null(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0)).alias(name)
-
-
 def items_per_order(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id").agg(
         F.count("*").alias("items_count"),
@@ -110,23 +106,32 @@ def order_core(
 
 def with_items(orders: DataFrame, per_order: DataFrame) -> DataFrame:
     """Attach item amounts; an order without items gets zeros."""
-    filled = ("items_count", "sellers_count", "items_amount", "freight_amount")
-    joined = orders.join(per_order.select("order_id", *filled), "order_id", "left")
-    return joined.select(*orders.columns, *[_zero_if_null(c) for c in filled])
+    amounts = ["items_count", "sellers_count", "items_amount", "freight_amount"]
+    joined = orders.join(per_order.select("order_id", *amounts), "order_id", "left")
+    return joined.fillna(0, amounts)
 
 
 def with_payments(orders: DataFrame, per_order: DataFrame) -> DataFrame:
     """Attach payments; the amount is 0 but the count stays NULL when unpaid."""
-    kept = ("payments_count", "max_installments", "used_voucher", "main_payment_type")
-    joined = orders.join(per_order.select("order_id", "payment_amount", *kept), "order_id", "left")
-    return joined.select(*orders.columns, _zero_if_null("payment_amount"), *kept)
+    joined = orders.join(
+        per_order.select(
+            "order_id",
+            "payment_amount",
+            "payments_count",
+            "max_installments",
+            "used_voucher",
+            "main_payment_type",
+        ),
+        "order_id",
+        "left",
+    )
+    return joined.fillna(0, ["payment_amount"])
 
 
 def with_reviews(orders: DataFrame, per_order: DataFrame) -> DataFrame:
     """Attach the latest review; everything stays NULL when there is none."""
-    kept = ("review_id", "review_score", "has_comment", "reviews_count")
-    joined = orders.join(per_order.select("order_id", *kept), "order_id", "left")
-    return joined.select(*orders.columns, *kept)
+    kept = per_order.select("order_id", "review_id", "review_score", "has_comment", "reviews_count")
+    return orders.join(kept, "order_id", "left")
 
 
 def orders_enriched(

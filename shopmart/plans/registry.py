@@ -127,7 +127,7 @@ def load_audit(m: Models) -> DataFrame:
     files = landing.list_files(m.spark, m.folder)
     table = F.regexp_extract("file_name", r"^(.*)\.parquet$", 1)
     named = files.withColumn("table_name", table).filter(F.col("table_name").isin(*m.source))
-    hashed = landing.inspect_files(named)
+    hashed = landing.file_hashes(named)
     return hashed.join(landing.row_counts(m.source), "table_name").select(
         "file_name", "table_name", "row_count", "sha256"
     )
@@ -601,17 +601,17 @@ def comparable(df: DataFrame) -> DataFrame:
     """Engine-neutral types: money and ratios DOUBLE, integers BIGINT, dates ISO text."""
     columns = []
     for field in df.schema.fields:
-        c = F.col(field.name)
+        name = expression = f"`{field.name}`"
         if isinstance(field.dataType, (DecimalType, FloatType)):
-            c = c.cast("double")
+            expression = f"cast({name} as double)"
         elif isinstance(field.dataType, (ByteType, ShortType, IntegerType)):
-            c = c.cast("bigint")
+            expression = f"cast({name} as bigint)"
         elif isinstance(field.dataType, DateType):
-            c = c.cast("string")
+            expression = f"cast({name} as string)"
         elif isinstance(field.dataType, (TimestampType, TimestampNTZType)):
-            c = F.date_format(c, _MOMENT)
-        columns.append(c.alias(field.name))
-    return df.select(*columns)
+            expression = f"date_format({name}, '{_MOMENT}')"
+        columns.append(f"{expression} as {name}")
+    return df.selectExpr(*columns)
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:

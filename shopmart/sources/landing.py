@@ -75,41 +75,55 @@ def check_source_files(
     return found_files
 
 
-def _inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """SHA-256 and first record of each file, read as a stream of small chunks."""
+def _chunks(path: str) -> Iterator[bytes]:
+    uri = path if "://" in path else path.replace("file:", "file://", 1)
+    filesystem, inner = pafs.FileSystem.from_uri(uri)
+    with filesystem.open_input_stream(inner) as stream:
+        while chunk := stream.read(_CHUNK):
+            yield chunk
+
+
+def _hash(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        digests, headers = [], []
+        digests = []
         for path in batch["path"]:
-            uri = path if "://" in path else path.replace("file:", "file://", 1)
-            filesystem, inner = pafs.FileSystem.from_uri(uri)
-            digest, first = hashlib.sha256(), b""
-            with filesystem.open_input_stream(inner) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-                    if b"\n" not in first:
-                        first += chunk.split(b"\n", 1)[0] + (b"\n" if b"\n" in chunk else b"")
+            digest = hashlib.sha256()
+            for chunk in _chunks(path):
+                digest.update(chunk)
             digests.append(digest.hexdigest())
-            line = first.decode("utf-8-sig", errors="replace").rstrip("\r\n")
-            headers.append(next(csv.reader([line]), []))
-        yield batch.assign(sha256=digests, header=headers)
-
-
-def inspect_files(files: DataFrame) -> DataFrame:
-    """Add ``sha256`` and ``header`` to every file; files are spread over the tasks."""
-    schema = T.StructType(
-        [
-            *files.schema.fields,
-            T.StructField("sha256", T.StringType()),
-            T.StructField("header", T.ArrayType(T.StringType())),
-        ]
-    )
+        yield batch.assign(sha256=digests)
+
+
+def _first_record(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        headers = []
+        for path in batch["path"]:
+            line = b""
+            for chunk in _chunks(path):
+                head, newline, _ = chunk.partition(b"\n")
+                line += head
+                if newline:
+                    break
+            headers.append(next(csv.reader([line.decode("utf-8-sig").rstrip("\r")]), []))
+        yield batch.assign(header=headers)
+
+
+def file_hashes(files: DataFrame) -> DataFrame:
+    """Add ``sha256``: files are spread over the tasks and read in small chunks."""
+    schema = T.StructType([*files.schema.fields, T.StructField("sha256", T.StringType())])
     spread = files.repartition(files.sparkSession.sparkContext.defaultParallelism, "path")
-    return spread.mapInPandas(_inspect, schema)
+    return spread.mapInPandas(_hash, schema)
+
+
+def file_headers(files: DataFrame) -> DataFrame:
+    """Add ``header``, the fields of the first line of each CSV file, without a BOM."""
+    names = T.StructField("header", T.ArrayType(T.StringType()))
+    return files.mapInPandas(_first_record, T.StructType([*files.schema.fields, names]))
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV file, without byte-order mark."""
-    first = inspect_files(list_files(spark, path)).first()
+    first = file_headers(list_files(spark, path)).first()
     return check_identifiers(path.rsplit("/", 1)[-1], first["header"] if first else [])
 
 
@@ -169,10 +183,8 @@ def load_raw(
     Nothing is visible to readers before all tables and the audit are written,
     so a failed load leaves the previous one in place.
     """
-    found = materialize(
-        inspect_files(check_source_files(spark, folder, files)).drop("parent", "length"),
-        "source_files",
-    )
+    found = check_source_files(spark, folder, files).drop("parent", "length")
+    found = materialize(file_headers(file_hashes(found)), "source_files")
     version = publisher.next_version()
     locations: dict[str, str] = {}
     counts = []
