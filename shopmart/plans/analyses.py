@@ -6,7 +6,7 @@ order; nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +17,7 @@ from shopmart.functions.numeric import mean, percent, ratio, true_percent
 from shopmart.operators.scale import global_ntile, global_position, over_all
 from shopmart.plans.marts import customer_flags
 from shopmart.session import materialize
+from shopmart.tables import TableSet
 
 
 def kpis(fct_orders: DataFrame, *by: str) -> DataFrame:
@@ -345,3 +346,21 @@ def black_friday(
             "avg_revenue_per_day_brl",
         )
     )
+
+
+def findings(tables: Mapping[str, DataFrame]) -> TableSet:
+    """The nine reports over the marts, each defined when it is asked for."""
+    orders, items = tables["fct_orders"], tables["fct_order_items"]
+    return TableSet(
+        {
+            "kpi_summary": lambda: kpi_summary(orders),
+            "revenue_by_state": lambda: revenue_by_state(orders),
+            "revenue_by_state_monthly": lambda: revenue_by_state_monthly(items),
+            "late_delivery_vs_reviews": lambda: late_delivery_vs_reviews(orders),
+            "monthly_cohorts": lambda: monthly_cohorts(orders),
+            "category_pareto": lambda: category_pareto(items, tables["dim_products"], orders),
+            "seller_concentration": lambda: seller_concentration(items),
+            "rfm_segments": lambda: rfm_segments(tables["dim_customers"]),
+            "black_friday": lambda: black_friday(items, tables["dim_date"]),
+        }
+    )

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from shopmart.operators import checks, snapshot, upsert
 from shopmart.plans import intermediate, marts, quality
+from shopmart.plans.analyses import findings
 from shopmart.plans.staging import stage
 from shopmart.session import materialize
-from shopmart.sources.contracts import SourceFiles
+from shopmart.sources.contracts import RAW_COLUMNS, SourceFiles
 from shopmart.sources.export import export_csv
 from shopmart.sources.landing import load_raw
 from shopmart.sources.publish import Publisher
@@ -54,6 +55,29 @@ class Warehouse:
     def mart(self, name: str) -> DataFrame:
         return self.layer("marts").read(name)
 
+    def register_views(self) -> None:
+        """Make the newest published tables available to ``spark.sql``.
+
+        Raw tables become ``raw_*``, their staging models ``stg_*`` views over
+        them; marts go by their own names.
+        """
+        raw = {table: self.layer("raw").read(table) for table in RAW_COLUMNS}
+        for table, df in raw.items():
+            df.createOrReplaceTempView(f"raw_{table}")
+        for table, df in stage(raw).items():
+            df.createOrReplaceTempView(f"stg_{table}")
+        for name in MARTS:
+            self.mart(name).createOrReplaceTempView(name)
+
+
+def write_findings(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """Run the nine reports over the published marts and publish their results."""
+    layer = warehouse.layer("findings")
+    version = layer.next_version()
+    reports = findings({name: warehouse.mart(name) for name in MARTS})
+    layer.commit(version, {n: layer.write(df, n, version) for n, df in reports.items()})
+    return {name: layer.read(name) for name in reports}
+
 
 def purchase_month() -> Column:
     """The part of the item fact a row belongs to."""

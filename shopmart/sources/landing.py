@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import sys
 from collections.abc import Iterator, Mapping
 from functools import reduce
 
 import pandas as pd
 import pyarrow.fs as pafs
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,10 @@ from shopmart.sources.publish import Publisher
 _QUOTED_EMPTY = "\u0000quoted-empty\u0000"
 _CHUNK = 1 << 20
 
+# The helpers below run in tasks: ship them along, so that executors do not need
+# the package installed.
+register_pickle_by_value(sys.modules[__name__])
+
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """``path, file_name, parent, length`` of the files below ``folder``; reads no content."""

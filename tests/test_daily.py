@@ -1,7 +1,5 @@
 """The whole run over generated files: reload, history, incremental months, blocking checks."""
 
-from datetime import date
-
 import pytest
 from pyspark.sql import functions as F
 from shop import RAW, write_landing
@@ -10,7 +8,6 @@ from shopmart.operators.checks import QualityError
 from shopmart.plans import daily
 from shopmart.streaming import changes
 
-# DQ needs every category translated and every point of a child table to exist.
 DAY1, DAY2 = "2018-01-01 06:00:00", "2018-01-02 06:00:00"
 
 
@@ -98,13 +95,16 @@ def test_incremental_run_rewrites_only_touched_months(warehouse, second_run, tmp
     assert published["fct_order_items"].count() == 7
 
 
-def test_calendar_must_cover_the_orders(warehouse, second_run, tmp_path):
-    narrow = daily.Warehouse(
-        warehouse.spark, str(tmp_path / "w"), calendar=(date(2017, 1, 1), date(2017, 6, 30))
+def test_views_and_reports_of_the_published_marts(spark, warehouse, first_run):
+    warehouse.register_views()
+    joined = spark.sql(
+        "select count(*) from fct_order_items i join dim_sellers s on i.seller_id = s.seller_id"
     )
-    landing = write_landing(tmp_path / "in")
-    with pytest.raises(QualityError, match="purchase_date"):
-        daily.run_daily(narrow, str(landing), DAY1)
+    assert joined.first()[0] == warehouse.mart("fct_order_items").count()
+    assert spark.sql("select state from stg_customers where customer_id = 'c1'").first()[0] == "SP"
+    assert spark.sql("select customer_state from raw_customers").count() == len(RAW["customers"])
+    reports = daily.write_findings(warehouse)
+    assert len(reports) == 9 and reports["kpi_summary"].count() == 1
 
 
 SCHEMA = "order_id string, order_status string, changed_at timestamp_ntz"
