@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmart.operators import checks, snapshot, upsert
+from shopmart.operators.published import extend_history, merge_parts
 from shopmart.plans import intermediate, marts, quality
 from shopmart.plans.analyses import findings
 from shopmart.plans.staging import stage
@@ -97,12 +98,11 @@ def seeds(warehouse: Warehouse) -> dict[str, DataFrame]:
 def take_snapshot(warehouse: Warehouse, raw_orders: DataFrame, as_of: str) -> None:
     """Record status changes of the raw orders as of this run."""
     layer = warehouse.layer("snapshots")
-    seen = layer.read(HISTORY) if layer.exists(HISTORY) else None
-    history = snapshot.apply_snapshot(
-        seen, raw_orders, "order_id", snapshot.ORDER_STATUS_CHECKS, as_of
-    )
     version = layer.next_version()
-    layer.commit(version, {HISTORY: layer.write(history, HISTORY, version)})
+    folders = extend_history(
+        layer, HISTORY, raw_orders, "order_id", snapshot.ORDER_STATUS_CHECKS, as_of, version
+    )
+    layer.commit(version, {HISTORY: folders})
 
 
 def build_intermediate(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -141,24 +141,9 @@ def load_items(
     if days is None or not layer.exists(ITEMS):
         fact = marts.fct_order_items(items, orders)
         return layer.write_parts(fact, ITEMS, version, purchase_month())
-    published = layer.parts(ITEMS)
-    target = layer.read(ITEMS)
-    recent = upsert.look_back(orders, target, "purchased_at", days)
-    batch = materialize(marts.fct_order_items(items, recent), "item_batch")
-    month = "__month"
-    # One row per month.
-    touched = {
-        r[month]
-        for r in upsert.touched_partitions(
-            target.withColumn(month, purchase_month()),
-            batch.withColumn(month, purchase_month()),
-            ITEM_KEY,
-            month,
-        ).collect()
-    }
-    rewritten = upsert.delete_insert(layer.read(ITEMS, sorted(touched)), batch, ITEM_KEY)
-    kept = {part: path for part, path in published.items() if part not in touched}
-    return kept | layer.write_parts(rewritten, ITEMS, version, purchase_month())
+    recent = upsert.look_back(orders, layer.read(ITEMS), "purchased_at", days)
+    batch = marts.fct_order_items(items, recent)
+    return merge_parts(layer, ITEMS, batch, ITEM_KEY, purchase_month(), version)
 
 
 def build_marts(

@@ -13,21 +13,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shopmart.operators.snapshot import apply_snapshot
-from shopmart.operators.upsert import delete_insert
+from shopmart.operators.published import extend_history, merge_parts
 from shopmart.session import materialize
 from shopmart.sources.publish import Publisher
 
 Sink = Callable[[DataFrame, int], None]
 
 
-def _publish(publisher: Publisher, table: str, df: DataFrame) -> None:
-    version = publisher.next_version()
-    publisher.commit(version, {table: publisher.write(df, table, version)})
-
+def upsert_sink(
+    publisher: Publisher, table: str, key: str, newest: Sequence[Column], part: Column
+) -> Sink:
+    """Delete+insert every micro-batch into a table stored by ``part``.
 
-def upsert_sink(publisher: Publisher, table: str, key: str, newest: Sequence[Column]) -> Sink:
-    """Delete+insert every micro-batch; of several rows of a key the first by ``newest`` stays."""
+    Of several rows of a key in one micro-batch the highest by ``newest`` stays.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = F.struct(*batch.columns)
@@ -36,8 +35,9 @@ def upsert_sink(publisher: Publisher, table: str, key: str, newest: Sequence[Col
             .agg(F.max_by(rows, F.struct(*newest)).alias("row"))
             .select("row.*")
         )
-        target = publisher.read(table) if publisher.exists(table) else None
-        _publish(publisher, table, delete_insert(target, latest, key))
+        version = publisher.next_version()
+        folders = merge_parts(publisher, table, latest, key, part, version)
+        publisher.commit(version, {table: folders})
 
     return write
 
@@ -52,8 +52,9 @@ def history_sink(
         moment = batch.agg(F.max(changed_at).cast("string")).first()[0]
         if moment is None:  # an empty micro-batch
             return
-        history = publisher.read(table) if publisher.exists(table) else None
-        _publish(publisher, table, apply_snapshot(history, batch, key, check, moment))
+        version = publisher.next_version()
+        folders = extend_history(publisher, table, batch, key, check, moment, version)
+        publisher.commit(version, {table: folders})
 
     return write
 
