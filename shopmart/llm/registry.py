@@ -29,13 +29,18 @@ def send_package(spark: SparkSession) -> None:
 
 def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
-    from shopmart.llm import decontaminate, mixing, quality, simhash, tokens
+    from shopmart.llm import decontaminate, html_text, language, mixing, pii, quality, secrets, simhash, tokens, toxicity
 
     return {
         "op1_mixing": mixing.op1_mixing,
+        "op2_language": language.op2_language,
         "op3_simhash": simhash.op3_simhash,
         "op4_tokens": tokens.op4_tokens,
         "op5_quality": quality.op5_quality,
+        "op6_html": html_text.op6_html,
+        "op7_pii": pii.op7_pii,
+        "op8_secrets": secrets.op8_secrets,
+        "op9_toxicity": toxicity.op9_toxicity,
         "op10_decontamination": decontaminate.op10_decontamination,
         "pipeline": corpus_pipeline.run,
     }
