@@ -116,16 +116,17 @@ def mix(
     key: str = "doc_id",
     weights: tuple[float, ...] = WEIGHTS,
     max_copies: int = 3,
+    carry: tuple[str, ...] = ("*",),
 ) -> DataFrame:
-    """Each row as ``row`` with its ``size``, its source's ``source_size`` and ``target``, and ``copies``.
+    """Each row as ``row`` (its columns ``carry``) with its ``size``, its source's ``source_size`` and ``target``, and ``copies``.
 
     Sources in order of code points, null last, have the weights in turn.
     """
-    rows = docs.select(F.struct("*").alias("row")).select(
-        "row",
-        F.col(f"row.{source}").alias("mixed_source"),
-        F.coalesce(F.regexp_count(F.col(f"row.{text}"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.pmod(F.xxhash64(F.col(f"row.{key}"), F.lit("mix")), F.lit(SLICES)).cast("int").alias("slice"),
+    rows = docs.select(
+        F.struct(*carry).alias("row"),
+        F.col(source).alias("mixed_source"),
+        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.pmod(F.xxhash64(F.col(key), F.lit("mix")), F.lit(SLICES)).cast("int").alias("slice"),
     )
     counted = rows.groupBy("mixed_source", "size", "slice").agg(F.count("*").alias("n"))
     counted = counted.groupBy("mixed_source", "size").agg(F.collect_list(F.struct("slice", "n")).alias("slices"))
@@ -171,13 +172,15 @@ def mix(
         )
     )
     decided = materialize(decided, "mix-decisions").withColumnsRenamed({"mixed_source": "of", "size": "of_size"})
-    joined = rows.join(decided, same & (F.col("size") == F.col("of_size")))
+    # The decisions have no proven bound, so they are joined by sorting at any size;
+    # what is carried is shuffled once.
+    joined = rows.join(decided.hint("merge"), same & (F.col("size") == F.col("of_size")))
     extra = (F.col("slice") < F.col("bound")).cast("int")
     return joined.select("row", "size", "source_size", "target", "rate", (F.col("base") + extra).alias("copies"))
 
 
 def op1_mixing(spark, folder: str) -> DataFrame:
-    mixed = mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    mixed = mix(table(spark, folder, "documents"), carry=("doc_id",))
     taken = (F.col("copies") * F.col("size")).alias("taken")
     return mixed.select("row.doc_id", "size", "source_size", "target", taken, "copies", "rate")
 
