@@ -27,11 +27,13 @@ long; columns other than id and text are not looked at.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -154,41 +156,53 @@ class ShardReader:
 
 
 class Encoder:
-    """Whole texts to ids, the pieces between single spaces looked up once each.
-
-    A byte-level pre-tokenizer never joins what stands before a space with the
-    space, if a character other than white space stands before it. Texts where
-    white space stands before a space, and texts with special tokens, go through
-    the library whole.
+    """Whole texts to ids, the pieces that start at white space looked up once each.
+
+    A byte-level pre-tokenizer never joins what stands before a run of white space
+    with the run, so a text may be cut where such runs begin. Only ASCII runs are
+    cut at; texts with other white space or control separators, and texts with
+    special tokens, go through the library whole. Pieces are kept in two
+    generations of at most ``most``, so that memory is bounded and frequent pieces
+    stay.
     """
 
-    def __init__(self, vocabulary: str, most: int = 200_000) -> None:
+    def __init__(self, vocabulary: str, most: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.most = most
-        self.unsafe = re.compile(r"\s ").search
-
-    def _encode(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        self.unsafe = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+        self.cut = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+").findall
 
     def encode(self, rows: list[str]) -> list[np.ndarray]:
         if len(self.known) > self.most:
-            self.known.clear()
-        cut: list[list[str]] = []
-        for t in rows:
-            if self.unsafe(t) or any(s in t for s in self.special):
-                cut.append([t])
-            else:
-                first, *rest = t.split(" ")
-                cut.append([first, *[" " + piece for piece in rest]] if rest else [first])
-        known = self.known
-        new = [p for p in set(itertools.chain.from_iterable(cut)) if p not in known]
-        known.update(zip(new, self._encode(new)))
-        chain, get = itertools.chain.from_iterable, known.__getitem__
-        return [np.array([*chain(map(get, pieces)), END_ID], "<u4") for pieces in cut]
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        whole = [t if self.unsafe(t) or any(s in t for s in self.special) else None for t in rows]
+        cut = [self.cut(t) if w is None else [] for t, w in zip(rows, whole)]
+        new = []
+        for piece in set(itertools.chain.from_iterable(cut)):
+            if piece not in known:
+                if piece in old:
+                    known[piece] = old[piece]
+                else:
+                    new.append(piece)
+        uncut = [t for t in whole if t is not None]
+        ids = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(new + uncut, add_special_tokens=False)]
+        known.update(zip(new, ids))
+        rest = iter(ids[len(new) :])
+        get, end = known.__getitem__, array("I", [END_ID]).tobytes()
+        joined = [b"".join(map(get, pieces)) if w is None else next(rest) for pieces, w in zip(cut, whole)]
+        return [np.frombuffer(j + end, np.uint32) for j in joined]
+
+
+@functools.cache
+def encoder_of(vocabulary: str) -> Encoder:
+    """One per Python worker: later tasks find the pieces of earlier ones."""
+    return Encoder(vocabulary)
 
 
 def write_tokens(
@@ -215,7 +229,7 @@ def write_tokens(
         for whole in batches:
             for batch in slices(whole, chars=1_000_000):
                 if writer is None:
-                    encoder = Encoder(path_of)
+                    encoder = encoder_of(path_of)
                     files.create_dir(root, recursive=True)
                     writer = ShardWriter(files.open_output_stream(own, compression=None), planes)
                 for i, ids in zip(batch.column("id").to_pylist(), encoder.encode(texts(batch))):
