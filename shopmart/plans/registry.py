@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ByteType,
@@ -123,13 +123,29 @@ def query(function: Query) -> Query:
 
 @query
 def load_audit(m: Models) -> DataFrame:
-    """Rows and hash of every stored file of the source tables."""
-    files = landing.list_files(m.spark, m.folder)
-    table = F.regexp_extract("file_name", r"^(.*)\.parquet$", 1)
-    named = files.withColumn("table_name", table).filter(F.col("table_name").isin(*m.source))
+    """Rows and hash of every stored file of the source tables.
+
+    A table is a file or a folder of part files; a folder's rows are counted per
+    part. A part that the count does not name holds no rows.
+    """
+
+    def table_in(column: str) -> Column:
+        found = F.regexp_extract(column, r"^(.*)\.parquet$", 1)
+        return F.when(found.isin(*m.source), found)
+
+    files = landing.list_files(m.spark, m.folder).filter(~F.col("file_name").rlike("^[._]"))
+    table = F.coalesce(table_in("file_name"), table_in("parent"))
+    named = files.withColumn("table_name", table).filter(F.col("table_name").isNotNull())
     hashed = landing.file_hashes(named)
-    return hashed.join(landing.row_counts(m.source), "table_name").select(
-        "file_name", "table_name", "row_count", "sha256"
+    counted = [
+        df.groupBy(F.col("_metadata.file_name").alias("file_name"))
+        .agg(F.count("*").alias("row_count"))
+        .withColumn("table_name", F.lit(name))
+        for name, df in m.source.items()
+    ]
+    counts = reduce(DataFrame.unionByName, counted)
+    return hashed.join(counts, ["table_name", "file_name"], "left").select(
+        "file_name", "table_name", F.coalesce("row_count", F.lit(0)).alias("row_count"), "sha256"
     )
 
 

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shopmart.plans import registry
+from shopmart.sources import standin
 
 TABLES = Path("/root/testdata/sf0.001")
 ORACLE = entry.oracle_sql()
@@ -30,7 +32,7 @@ def plain(value):
 
 
 def test_every_query_but_the_file_audit_has_sql():
-    assert set(entry.queries()) - set(ORACLE) == {"load_audit"}
+    assert set(registry.names()) - set(ORACLE) == {"load_audit"}
     assert set(ORACLE) <= set(entry.queries())
 
 
@@ -54,3 +56,16 @@ def test_file_audit(spark):
     audit = entry.queries()["load_audit"](spark, str(TABLES)).collect()
     assert {r.table_name for r in audit} >= {"orders", "lineitem"}
     assert all(len(r.sha256) == 64 and r.row_count > 0 for r in audit)
+
+
+def test_file_audit_of_tables_stored_as_folders(spark, tmp_path):
+    rows = {}
+    for path in TABLES.glob("*.parquet"):
+        frame = spark.read.parquet(str(path))
+        (frame.repartition(3) if path.stem in ("orders", "lineitem") else frame).write.parquet(f"{tmp_path}/{path.name}")
+        rows[path.stem] = frame.count()
+    audit = entry.queries()["load_audit"](spark, str(tmp_path)).collect()
+    assert {r.table_name for r in audit} == set(standin.TABLES)
+    for name in standin.TABLES:
+        assert sum(r.row_count for r in audit if r.table_name == name) == rows[name]
+    assert sum(r.table_name == "orders" for r in audit) == 3
