@@ -60,9 +60,9 @@ def accepted_range(
 def expression_is_true(
     table: str, df: DataFrame, expression: str, where: str | None = None
 ) -> Check:
-    """Rows (selected by ``where``) for which the expression is not true."""
-    holds = F.coalesce(F.expr(expression), F.lit(False))
-    fails = ~holds if where is None else F.expr(where) & ~holds
+    """Rows (selected by ``where``) for which the expression is false; NULL passes."""
+    fails = ~F.expr(expression)
+    fails = fails if where is None else F.expr(where) & fails
     return Check(f"expression_is_true:{table}:{expression}", df, fails)
 
 
