@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 def export_csv(marts: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Write every mart below ``folder`` and return its row count.
 
-    Booleans are ``true``/``false``, NULL is an empty field, quotes are
-    doubled.  Each mart becomes a folder of files with a header, written in
+    Booleans are ``true``/``false``, NULL is an empty field, the empty
+    text is ``""``, blanks are kept and quotes are doubled.  Each mart becomes a folder of files with a header, written in
     parallel; rows are counted while they are written.
     """
     counts = {}
@@ -23,7 +23,8 @@ def export_csv(marts: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
             .write.mode("overwrite")
             .option("header", "true")
             .option("escape", '"')
-            .option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
             .csv(f"{folder.rstrip('/')}/{name}")
         )
