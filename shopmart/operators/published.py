@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.operators.snapshot import VALID_TO, apply_snapshot
+from shopmart.operators.snapshot import VALID_TO, apply_changes, apply_snapshot
 from shopmart.operators.upsert import delete_insert, touched_partitions
 from shopmart.session import materialize
 from shopmart.sources.publish import Publisher
@@ -51,14 +51,38 @@ def extend_history(
     as_of: str,
     version: int,
 ) -> dict[str, str]:
-    """Apply ``batch`` to a published history; returns all its folders.
+    """Apply ``batch``, seen at ``as_of``, to a published history; returns all its folders."""
+    seen, closed = _open_part(publisher, table)
+    history = apply_snapshot(seen, batch, key, check, as_of)
+    return closed | _write_history(publisher, table, history, version)
 
-    Open versions are one part and rewritten; the versions a run closes become
-    a part of their own and are not touched again.
-    """
+
+def extend_history_by_changes(
+    publisher: Publisher,
+    table: str,
+    changes: DataFrame,
+    key: str,
+    check: Sequence[str],
+    changed_at: str,
+    version: int,
+) -> dict[str, str]:
+    """Apply rows, each at its own time, to a published history; returns all its folders."""
+    seen, closed = _open_part(publisher, table)
+    history = apply_changes(seen, changes, key, check, changed_at)
+    return closed | _write_history(publisher, table, history, version)
+
+
+def _open_part(publisher: Publisher, table: str) -> tuple[DataFrame | None, dict[str, str]]:
+    """The open versions of a published history and the folders of the closed ones."""
     published = publisher.parts(table) if publisher.exists(table) else {}
     seen = publisher.read(table, [OPEN]) if published else None
-    history = apply_snapshot(seen, batch, key, check, as_of)
+    return seen, {name: path for name, path in published.items() if name != OPEN}
+
+
+def _write_history(
+    publisher: Publisher, table: str, history: DataFrame, version: int
+) -> dict[str, str]:
+    """Open versions are one part and rewritten; the versions a run closes become
+    a part of their own and are not touched again."""
     part = F.when(F.col(VALID_TO).isNull(), OPEN).otherwise(F.lit(f"closed-{version}"))
-    closed = {name: path for name, path in published.items() if name != OPEN}
-    return closed | publisher.write_parts(history, table, version, part)
+    return publisher.write_parts(history, table, version, part)

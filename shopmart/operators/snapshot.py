@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VALID_FROM = "dbt_valid_from"
@@ -31,6 +31,23 @@ def _open_version(key: str, as_of: Column) -> list[Column]:
     ]
 
 
+def _with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with the columns only ``other`` has, as NULL, at the end."""
+    missing = [f for f in other.schema.fields if f.name not in df.columns]
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+
+
+def _one_row_each(df: DataFrame, by: Sequence[str], first: Sequence[str]) -> DataFrame:
+    """The highest row, compared by the columns ``first`` and then the others, of each key."""
+    rest = [c for c in df.columns if c not in by and c not in first]
+    return (
+        df.groupBy(*by)
+        .agg(F.max(F.struct(*first, *rest)).alias("__row"))
+        .select(*by, "__row.*")
+        .select(df.columns)
+    )
+
+
 def apply_snapshot(
     history: DataFrame | None,
     batch: DataFrame,
@@ -43,12 +60,17 @@ def apply_snapshot(
     A key whose checked columns differ (NULLs compare equal) gets its open
     version closed and a new one opened; a new key gets a first version; keys
     missing from the batch, changes to other columns and closed versions leave
-    the history as it is.
+    the history as it is.  Of several rows of a key the one with the highest
+    checked columns counts.  Columns new in the batch are NULL in older
+    versions; columns the batch no longer has are NULL in newer ones.
     """
     moment = (F.lit(as_of) if isinstance(as_of, str) else as_of).cast("timestamp_ntz")
+    batch = _one_row_each(batch, [key], check)
     if history is None:
         return batch.select("*", *_open_version(key, moment))
 
+    history = _with_columns_of(history, batch)
+    batch = _with_columns_of(batch, history.drop(*HISTORY_COLUMNS))
     columns = batch.columns
     current = history.filter(F.col(VALID_TO).isNull())
     closed = history.filter(F.col(VALID_TO).isNotNull())
@@ -81,6 +103,49 @@ def apply_snapshot(
     return closed.unionByName(latest)
 
 
+def apply_changes(
+    history: DataFrame | None,
+    changes: DataFrame,
+    key: str,
+    check: Sequence[str],
+    changed_at: str,
+) -> DataFrame:
+    """The history after a feed in which a key may change several times.
+
+    A row opens a version at its own ``changed_at`` if its checked columns
+    differ (NULLs compare equal) from those of the row before it, in the feed or
+    in the history; the next version of the key closes it.  Of several rows of a
+    key and time the one with the highest checked columns counts.  Rows not
+    newer than the start of the open version of their key, or without a time,
+    change nothing, so that a feed may be delivered again.
+    """
+    at = F.col(changed_at).cast("timestamp_ntz")
+    feed = _one_row_each(changes.filter(at.isNotNull()), [key, changed_at], check)
+    rows = feed.select("*", *_open_version(key, at))
+    closed = None
+    if history is not None:
+        history = _with_columns_of(history, feed)
+        closed = history.filter(F.col(VALID_TO).isNotNull())
+        current = history.filter(F.col(VALID_TO).isNull())
+        rows = current.withColumn("__known", F.lit(True)).unionByName(
+            _with_columns_of(rows, history).withColumn("__known", F.lit(False))
+        )
+        since = F.max(F.when(F.col("__known"), F.col(VALID_FROM))).over(Window.partitionBy(key))
+        rows = rows.withColumn("__since", since).filter(
+            F.col("__known") | F.col("__since").isNull() | (F.col(VALID_FROM) > F.col("__since"))
+        ).drop("__since", "__known")
+
+    in_time = Window.partitionBy(key).orderBy(VALID_FROM)
+    before = F.lag(F.struct(*check)).over(in_time)
+    chain = (
+        rows.withColumn("__before", before)
+        .filter(F.col("__before").isNull() | ~F.col("__before").eqNullSafe(F.struct(*check)))
+        .drop("__before")
+        .withColumn(VALID_TO, F.lead(VALID_FROM).over(in_time))
+    )
+    return chain if closed is None else closed.unionByName(chain)
+
+
 def as_of_view(history: DataFrame, moment: str | Column) -> DataFrame:
     """The version of every row that was valid at ``moment``."""
     at = (F.lit(moment) if isinstance(moment, str) else moment).cast("timestamp_ntz")

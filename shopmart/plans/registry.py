@@ -39,6 +39,7 @@ NOVEMBER = (date(1996, 11, 1), date(1996, 11, 30))
 DRILL_STATE, DRILL_MONTH = "NATION_7", date(1997, 3, 1)
 FIRST_LOAD_AT, SECOND_LOAD_AT = "2001-06-01 00:00:00", "2001-08-02 00:00:00"
 BETWEEN_LOADS = "2001-07-01 00:00:00"
+FEED_AGAIN_FROM, FEED_UNTIL = "1996-12-01 00:00:00", "1997-01-01 00:00:00"
 
 
 class Models:
@@ -494,6 +495,30 @@ def scd2_as_of(m: Models) -> DataFrame:
     return valid.select("order_id", "order_status", snapshot.VALID_FROM)
 
 
+@query
+def scd2_change_feed(m: Models) -> DataFrame:
+    """Status changes at their own times, in two batches of which a month arrives twice."""
+    steps = {
+        "created": "purchased_at",
+        "approved": "approved_at",
+        "shipped": "delivered_to_carrier_at",
+        "delivered": "delivered_to_customer_at",
+    }
+    events = F.array(
+        *[
+            F.struct(F.lit(status).alias("order_status"), F.col(c).alias("changed_at"))
+            for status, c in steps.items()
+        ]
+    )
+    feed = m.stg["orders"].select("order_id", F.inline(events))
+    seen = None
+    for batch in (f"changed_at < '{FEED_UNTIL}'", f"changed_at >= '{FEED_AGAIN_FROM}'"):
+        seen = snapshot.apply_changes(
+            seen, feed.filter(batch), "order_id", ("order_status",), "changed_at"
+        )
+    return seen.select("order_id", "order_status", snapshot.VALID_FROM, snapshot.VALID_TO)
+
+
 # --- data quality -------------------------------------------------------------
 
 

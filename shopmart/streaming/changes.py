@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shopmart.operators.published import extend_history, merge_parts
-from shopmart.session import materialize
+from shopmart.operators.published import extend_history_by_changes, merge_parts
 from shopmart.sources.publish import Publisher
 
 Sink = Callable[[DataFrame, int], None]
@@ -45,15 +44,15 @@ def upsert_sink(
 def history_sink(
     publisher: Publisher, table: str, key: str, check: Sequence[str], changed_at: str
 ) -> Sink:
-    """Apply every micro-batch to the history, dated by its newest ``changed_at``."""
+    """Apply every micro-batch to the history, each row at its own ``changed_at``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = materialize(batch, table)
-        moment = batch.agg(F.max(changed_at).cast("string")).first()[0]
-        if moment is None:  # an empty micro-batch
+        if batch.isEmpty():
             return
         version = publisher.next_version()
-        folders = extend_history(publisher, table, batch, key, check, moment, version)
+        folders = extend_history_by_changes(
+            publisher, table, batch, key, check, changed_at, version
+        )
         publisher.commit(version, {table: folders})
 
     return write

@@ -75,6 +75,58 @@ def test_nothing_is_valid_before_the_first_load(history):
     assert snapshot.as_of_view(history, "2017-12-31 00:00:00").isEmpty()
 
 
+def test_repeated_key_in_a_batch_opens_one_version(frame, history):
+    twice = frame([("f", "new", "x", "n"), ("f", "sent", "x", "n"), ("f", "sent", "x", "n")], ORDER)
+    (only,) = versions(snapshot.apply_snapshot(history, twice, "order_id", CHECK, T3), "f")
+    assert only[0] == "sent"
+
+
+def test_columns_new_in_a_batch_are_kept_and_gone_ones_are_null(frame, history):
+    batch = frame([("a", "back", "x", "why")], "order_id string, order_status string, approved string, reason string")
+    third = snapshot.apply_snapshot(history, batch, "order_id", CHECK, T3)
+    rows = third.filter("order_id = 'a'").orderBy(snapshot.VALID_FROM).collect()
+    assert [(r.note, r.reason) for r in rows] == [("n", None), ("n", None), (None, "why")]
+
+
+FEED = "order_id string, order_status string, at string"
+
+
+def feed(frame, rows):
+    return frame(rows, FEED).withColumn("at", F.to_timestamp_ntz("at"))
+
+
+def changed(history, rows):
+    return snapshot.apply_changes(history, rows, "order_id", ("order_status",), "at")
+
+
+def test_changes_of_a_key_in_one_batch_form_a_chain(frame):
+    one, two, three = times(T1, T2, T3)
+    rows = [("a", "new", T1), ("a", "new", T2), ("a", None, T3), ("b", "new", T2), ("c", "new", None)]
+    seen = changed(None, feed(frame, rows))
+    assert versions(seen, "a") == [("new", one, three), (None, three, None)]
+    assert versions(seen, "b") == [("new", two, None)]
+    assert versions(seen, "c") == []
+
+
+def test_later_changes_close_the_open_version_and_repeats_change_nothing(frame):
+    one, two, three = times(T1, T2, T3)
+    first = changed(None, feed(frame, [("a", "new", T1), ("b", "new", T1)]))
+    more = feed(frame, [("a", "new", T1), ("a", "sent", T2), ("a", "new", T3), ("a", "back", T3), ("b", "new", T3)])
+    second = changed(first, more)
+    assert versions(second, "a") == [("new", one, two), ("sent", two, three), ("new", three, None)]
+    assert versions(second, "b") == [("new", one, None)]
+    assert sorted(changed(second, more).collect(), key=str) == sorted(second.collect(), key=str)
+    still_open = second.filter(F.col(snapshot.VALID_TO).isNull()).groupBy("order_id").count()
+    assert {r["count"] for r in still_open.collect()} == {1}
+
+
+def test_empty_feed(frame):
+    empty = feed(frame, [])
+    assert changed(None, empty).isEmpty()
+    seen = changed(None, feed(frame, [("a", "new", T1)]))
+    assert changed(seen, empty).collect() == seen.collect()
+
+
 FACT = "k string, at timestamp_ntz, v int"
 
 
