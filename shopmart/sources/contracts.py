@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql.types import StringType, StructField, StructType
@@ -110,19 +111,36 @@ def raw_schema(columns: list[str] | tuple[str, ...]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
-def check_identifiers(file_name: str, header: list[str]) -> list[str]:
-    """The trimmed column names; refuses an empty header or unsafe names."""
-    columns = [c.strip() for c in header]
-    if not columns:
-        raise ValueError(f"{file_name} is empty")
-    invalid = [c for c in columns if not _IDENTIFIER.match(c)]
-    if invalid:
-        raise ValueError(f"{file_name} has unexpected column names: {invalid}")
-    return columns
+class HeaderError(ValueError):
+    """One or more landing files do not have the header their table needs."""
 
 
-def check_same_columns(table: str, existing: list[str], header: list[str]) -> None:
-    if existing != header:
-        raise RuntimeError(
-            f"{table}: existing columns {existing} do not match the file header {header}"
-        )
+def clean_header(header: Sequence[str] | None) -> list[str]:
+    return [name.strip() for name in header or ()]
+
+
+def header_faults(header: Sequence[str]) -> list[str]:
+    """What makes a header unusable as column names; nothing if it can be used."""
+    if not header:
+        return ["is empty"]
+    unsafe = [name for name in header if not _IDENTIFIER.match(name)]
+    repeated = sorted({name for name in header if header.count(name) > 1})
+    return [f"has the unsafe column name {name!r}" for name in unsafe] + [
+        f"repeats the column {name}" for name in repeated
+    ]
+
+
+def difference(header: Sequence[str], wanted: Sequence[str], ordered: bool) -> list[str]:
+    """How a header departs from the wanted columns; their order counts if ``ordered``."""
+    found = [f"lacks the column {name}" for name in wanted if name not in header]
+    found += [f"has the extra column {name}" for name in header if name not in wanted]
+    if ordered and not found and list(header) != list(wanted):
+        found.append("has its columns in another order than the table")
+    return found
+
+
+def require_headers(faults: Mapping[str, Sequence[str]]) -> None:
+    """Raise one error that names every fault of every file."""
+    told = [f"{file_name} {fault}" for file_name, found in faults.items() for fault in found]
+    if told:
+        raise HeaderError("; ".join(told))

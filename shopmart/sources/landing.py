@@ -11,7 +11,7 @@ from functools import reduce
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +20,11 @@ from shopmart.sources.contracts import (
     MULTILINE_TABLES,
     RAW_COLUMNS,
     SourceFiles,
-    check_identifiers,
-    check_same_columns,
+    clean_header,
+    difference,
+    header_faults,
     raw_schema,
+    require_headers,
 )
 from shopmart.sources.publish import Publisher
 
@@ -130,7 +132,9 @@ def file_headers(files: DataFrame) -> DataFrame:
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV file, without byte-order mark."""
     first = file_headers(list_files(spark, path)).first()
-    return check_identifiers(path.rsplit("/", 1)[-1], first["header"] if first else [])
+    header = clean_header(first["header"] if first else None)
+    require_headers({path.rsplit("/", 1)[-1]: header_faults(header)})
+    return header
 
 
 def _scan(spark: SparkSession, paths: list[str], table: str, header: list[str]) -> DataFrame:
@@ -196,16 +200,10 @@ def load_raw(
     counts = []
     # The file list: names only, never content.
     listed = found.select("table_name", "file_name", "path", "header").collect()
+    headers = _agreed_headers(listed, publisher)
     for table in RAW_COLUMNS:
         mine = [r for r in listed if r["table_name"] == table]
-        headers = [check_identifiers(r["file_name"], r["header"]) for r in mine]
-        for other in headers[1:]:
-            check_same_columns(table, headers[0], other)
-        header = headers[0]
-        if publisher.exists(table):
-            check_same_columns(table, publisher.read(table).columns, header)
-        else:
-            check_same_columns(table, sorted(RAW_COLUMNS[table]), sorted(header))
+        header = headers[table]
         paths = [r["path"] for r in mine]
         locations[table] = publisher.write(read_raw(spark, paths, table, header), table, version)
         written = spark.read.parquet(locations[table])
@@ -225,6 +223,30 @@ def load_raw(
     return {table: publisher.read(table) for table in RAW_COLUMNS}
 
 
+def _agreed_headers(listed: list[Row], publisher: Publisher) -> dict[str, list[str]]:
+    """The header of each table, after all files of all tables have been looked at.
+
+    The files of a table have the columns of the published table, in its order,
+    or on a first load those of the contract, all in the order of its first file.
+    """
+    agreed: dict[str, list[str]] = {}
+    faults: dict[str, list[str]] = {}
+    for row in sorted(listed, key=lambda r: r["path"]):
+        table, header = row["table_name"], clean_header(row["header"])
+        found = header_faults(header)
+        if not found and table in agreed:
+            found = difference(header, agreed[table], ordered=True)
+        elif not found and publisher.exists(table):
+            agreed[table] = publisher.read(table).columns
+            found = difference(header, agreed[table], ordered=True)
+        elif not found:
+            agreed[table] = header
+            found = difference(header, RAW_COLUMNS[table], ordered=False)
+        faults[row["path"]] = found
+    require_headers(faults)
+    return agreed
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``table_name, row_count`` for every table."""
     counted = [
