@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,3 +48,19 @@ def slices(batch: pa.RecordBatch, text: str = "text", chars: int = 4_000_000) ->
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null becomes the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def meets(taken: Iterable[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Tells if a span (start, end) overlaps one of ``taken``. Spans are asked for in order and
+    do not overlap each other, so that all of them take one sweep.
+    """
+    ahead = sorted(taken, reverse=True)
+    reach = 0
+
+    def overlaps(start: int, end: int) -> bool:
+        nonlocal reach
+        while ahead and ahead[-1][0] < end:
+            reach = max(reach, ahead.pop()[1])
+        return reach > start
+
+    return overlaps

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import slices, table, texts
+from shopmart.llm.common import meets, slices, table, texts
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
@@ -87,7 +87,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) in order of kind and start."""
     spans = [(0, *s) for s in emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        parts = [p.lstrip("0") or "0" for p in m.group().split(".")]  # int() refuses thousands of digits
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             spans.append((1, m.start(), m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
@@ -111,9 +112,10 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[str, i
     format, gazetteer, words before, words before that speak against, shape.
     """
     found = []
+    taken = meets((s, e) for _, s, e in base)
     for m in _CANDIDATES.finditer(text):
         kind, start, end = m.lastgroup, m.start(), m.end()
-        if any(s < end and start < e for _, s, e in base):
+        if taken(start, end):
             continue
         value, before = m.group(), text[max(0, start - 40) : start]
         form = 0

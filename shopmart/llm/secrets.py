@@ -12,10 +12,11 @@ Values that overlap a base span are not added again.
 Words are those of the list below and, ranked by how many documents have them,
 words of the corpus (``corpus_words``); the query uses the list.
 
-Defined cases: a null text is empty; values are at most MAX_VALUE characters
-long, longer ones cost what their first MAX_VALUE characters cost, which is
-enough to reach the limit; repeated rows get equal results; empty tables give
-empty results; columns other than id and text are not looked at.
+Defined cases: a null text is empty; a value longer than MAX_VALUE characters is
+hard to guess if one of its windows of MAX_VALUE characters is, which half
+overlap and cover all of it, so the time grows with its length; repeated rows get
+equal results; empty tables give empty results; columns other than id and text
+are not looked at.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import slices, table, texts
+from shopmart.llm.common import meets, slices, table, texts
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_LOG10 = 10.0
@@ -76,8 +77,7 @@ _LEET = str.maketrans("430157$@", "aeoist" + "sa")
 
 
 def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
-    """log10 of the tries of the cheapest segmentation."""
-    value = value[:MAX_VALUE]
+    """log10 of the tries of the cheapest segmentation. The time grows with the square of the length."""
     ranks = ranks or _COMMON_RANKS
     n, low = len(value), value.lower()
     plain = low.translate(_LEET)
@@ -126,6 +126,13 @@ def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
 _COMMON_RANKS = {w: i + 1 for i, w in enumerate(COMMON)}
 
 
+def hard_to_guess(value: str, min_log10: float = MIN_LOG10, ranks: dict[str, int] | None = None) -> bool:
+    """Does the value, or a window of a long one, cost at least 10**min_log10 tries?"""
+    step = MAX_VALUE // 2
+    windows = dict.fromkeys(value[i : i + MAX_VALUE] for i in range(0, max(1, len(value) - step), step))
+    return any(guess_cost(w, ranks) >= min_log10 for w in windows)
+
+
 def find_secrets(text: str, min_log10: float = MIN_LOG10, ranks: dict[str, int] | None = None) -> list[tuple[int, int, int]]:
     """(start, kind, end) in order."""
     spans = [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
@@ -134,12 +141,11 @@ def find_secrets(text: str, min_log10: float = MIN_LOG10, ranks: dict[str, int]
     low = text.lower()
     if any(h in low for h in _HINTS):
         spans += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 6]
-        taken = sorted((s, e) for s, _, e in spans)
+        taken = meets((s, e) for s, _, e in spans)
         for m in _CONTEXT.finditer(text):
             start, value = m.start(1), m.group(1).rstrip(".,;:!?)")
             end = start + len(value)
-            free = all(e <= start or s >= end for s, e in taken)
-            if len(value) >= 6 and free and guess_cost(value, ranks) >= min_log10:
+            if len(value) >= 6 and not taken(start, end) and hard_to_guess(value, min_log10, ranks):
                 spans.append((start, 3, end))
     return sorted(spans)
 

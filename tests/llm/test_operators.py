@@ -13,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shopmart.llm import decontaminate, html_text, language, mixing, pii, quality, secrets, simhash, tokens, toxicity
+from shopmart.llm import common, decontaminate, html_text, language, mixing, pii, quality, secrets, simhash, tokens, toxicity
 from shopmart.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, score double, fp long, `size` int"
@@ -310,6 +310,19 @@ def test_base_spans_equal_the_patterns(text):
     assert [s for s in secrets.find_secrets(text) if s[1] < 3] == sorted(want)
 
 
+def test_spans_in_very_long_texts():
+    taken = [(0, 4), (2, 3), (10, 12), (11, 20)]
+    asked = [(4, 6), (6, 11), (15, 16), (20, 22)]
+    overlaps = common.meets(taken)
+    assert [overlaps(*a) for a in asked] == [any(s < a[1] and a[0] < e for s, e in taken) for a in asked]
+    zeros = "0" * 6000
+    assert pii.base_spans(f"{zeros}1.2.3.4 {zeros}.1.1.999") == [(1, 0, 6007)]
+    text = "x@y.org Dr. Smith, pwd: kX9v2LqP7zRt 1.2.3.4 " * 20_000
+    base = pii.base_spans(text)
+    assert len(base) == 40_000 and len(pii.candidates(text, base)) == 20_000
+    assert len(secrets.find_secrets(text)) == 20_000
+
+
 def test_pii_votes_and_table(spark, odd, empty):
     votes = np.array([[1, 1, 1], [1, 1, 0], [-1, -1, 0], [-1, -1, -1]])
     posterior, _, share = pii.reliabilities(votes, np.array([30.0, 10, 30, 30]))
@@ -328,6 +341,9 @@ def test_guess_cost(spark, odd, empty):
     assert secrets.guess_cost("kx9") == pytest.approx(3.0)
     found = secrets.find_secrets("the pwd is kX9v2LqP7zRt, the pin: password")
     assert [("guess", found[0][0], found[0][2])] == [("guess", 11, 23)] and len(found) == 1
+    # Whole values count: hard at the end of a long easy one, and never so far without an end.
+    assert secrets.find_secrets("pwd: " + "z" * 500 + "kX9v2LqP7zRt") == [(5, 3, 517)]
+    assert secrets.find_secrets("pwd: " + "z" * 200_000) == []
     assert secrets.scan(empty).count() == 0 and secrets.scan(odd).count() == odd.count()
     # Eight words are in three rows each; ties go by the word.
     ranks = secrets.corpus_words(odd)
