@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.llm.common import meets, slices, table, texts
+from shopmart.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
@@ -167,8 +168,8 @@ def fit_classifier(x: np.ndarray, soft: np.ndarray, steps: int = 400) -> np.ndar
     return weights
 
 
-def _scan(docs: DataFrame, key: str, text: str, decide: np.ndarray | None) -> DataFrame:
-    """All spans of every row; with ``decide`` candidates only those the classifier takes, else all of them."""
+def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Base spans and all candidates of every row."""
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("votes", pa.list_(pa.int32())), ("x", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +180,7 @@ def _scan(docs: DataFrame, key: str, text: str, decide: np.ndarray | None) -> Da
                     base = base_spans(t)
                     row = [{"kind": KINDS[k], "start": s, "end": e, "votes": None, "x": None} for k, s, e in base]
                     for kind, s, e, votes in sorted(candidates(t, base), key=lambda c: (EXTRA.index(c[0]), c[1])):
-                        x = _features(kind, t[s:e], votes)
-                        if decide is None or float(np.dot(decide, x)) >= 0:
-                            row.append({"kind": kind, "start": s, "end": e, "votes": votes, "x": x})
+                        row.append({"kind": kind, "start": s, "end": e, "votes": votes, "x": _features(kind, t[s:e], votes)})
                     out.append(row)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.list_(span))], ["id", "spans"])
 
@@ -189,15 +188,10 @@ def _scan(docs: DataFrame, key: str, text: str, decide: np.ndarray | None) -> Da
     return rows.mapInArrow(run, "id long, spans array<struct<kind:string,start:int,end:int,votes:array<int>,x:array<double>>>")
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> np.ndarray | None:
-    """Weights of the span classifier, or None if there is no candidate."""
-    # The cheap test in the JVM leaves out texts that can't hold a candidate.
-    may = F.col(text).rlike(r"(?:Mr|Mrs|Ms|Dr|Prof)\.? [A-Z]|[0-9]{3}|@[A-Za-z]|(?:" + "|".join(GIVEN) + ") [A-Z]")
-    seen = _scan(docs.where(may), key, text, None).select("id", F.explode("spans").alias("s")).where("s.votes is not null")
-    seen = seen.groupBy("s.votes", "s.x").agg(F.count("*").alias("n"))
-    from shopmart.session import materialize
-
-    seen = materialize(seen, "pii-votes")
+def train(found: DataFrame, sample: int = SAMPLE) -> np.ndarray | None:
+    """Weights of the span classifier from scanned rows, or None if there is no candidate."""
+    seen = found.select(F.explode("spans").alias("s")).where("s.votes is not null")
+    seen = materialize(seen.groupBy("s.votes", "s.x").agg(F.count("*").alias("n")), "pii-votes")
     patterns = seen.groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()  # at most 3**5
     if not patterns:
         return None
@@ -208,10 +202,21 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, spans) of every row: base kinds as listed, then the added ones."""
-    weights = train(docs, key, text)
-    never = np.array([-1.0] + [0.0] * (len(_features("name", "x", [0] * VOTES)) - 1))
-    return _scan(docs, key, text, never if weights is None else weights)
+    """(id, spans) of every row: base kinds as listed, then the candidates the classifier takes.
+
+    Texts are scanned once; their spans, written down, serve training and the decision.
+    """
+    found = materialize(_scan(docs, key, text), "pii-spans")
+    weights = train(found)
+    takes = lambda s: s["votes"].isNull()
+    if weights is not None:
+        constant = F.array(*[F.lit(w) for w in weights.tolist()])
+
+        def takes(s: Column) -> Column:
+            terms = F.zip_with(s["x"], constant, lambda x, w: x * w)
+            return s["votes"].isNull() | (F.aggregate(terms, F.lit(0.0), lambda total, t: total + t) >= 0)
+
+    return found.select("id", F.filter("spans", takes).alias("spans"))
 
 
 def op7_pii(spark, folder: str) -> DataFrame:
