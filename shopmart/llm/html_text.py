@@ -13,7 +13,10 @@ id, at most MAX_TRAINING_HTML characters long). Extraction looks at whole pages.
 
 Defined cases: null or empty pages have empty text and 0 characters; elements
 that are not closed end with their parent; a tag that is cut off at the end of
-the page is markup; character references that are cut off stay as they are; a
+the page is markup; of a hidden element (HIDDEN) that is not closed only its own
+text is left out, not the elements after it; a self-closed ``svg`` is empty;
+script, style, iframe and textarea that are not closed run to the end of the
+page; character references that are cut off stay as they are; a
 ``br`` is white space; blocks without text are left out; without pages to learn
 from only the layouts count; repeated rows get equal results; columns other than
 id and html are not looked at.
@@ -38,8 +41,8 @@ MAX_TRAINING_HTML = 100_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|select|textarea|button)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?P<raw>script|style|iframe|textarea)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>\"'=<]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/a-z][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
@@ -49,6 +52,10 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: What is in these is not text of the page.
+HIDDEN = frozenset("noscript template svg select button".split())
+#: Within these the text of these elements belongs to them too.
+_PARTS = frozenset("option optgroup title desc text tspan g".split())
 #: An open element of the key ends where one of these starts.
 _ENDS = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 _SPACE = re.compile(r"\s+")
@@ -67,17 +74,37 @@ def leaf_blocks(page: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []  # element, what it says of its content
     parts: list[str] = []
     links = linked = 0
+    # Per open hidden element: its place on the stack, the text and links around it, and the blocks before it.
+    hidden: list[tuple[int, list[str], int, int, int]] = []
 
     def flush() -> None:
         nonlocal linked
-        if parts:
+        if parts and not (hidden and stack and (stack[-1][0] in HIDDEN or stack[-1][0] in _PARTS)):
             text = _SPACE.sub(" ", html_entities.unescape("".join(parts))).strip()
             if text:
                 path = tuple(w for _, words in stack for w in words)
                 blocks.append(Block(path, text, min(1.0, linked / len(text)), "main:" in path))
-            parts.clear()
+        parts.clear()
         linked = 0
 
+    def cut(k: int, closed: bool = False) -> None:
+        """End the elements from the k-th on; a hidden one that is closed takes its blocks along."""
+        nonlocal parts, links, linked
+        links = 0
+        while hidden and hidden[-1][0] >= k:
+            flush()
+            at, parts, linked, outer, mark = hidden.pop()
+            del stack[at:]
+            if closed and at == k:
+                del blocks[mark:]
+                links = outer
+            else:
+                later = blocks[mark:]
+                del blocks[mark:]
+                flush()
+                blocks.extend(later)
+        del stack[k:]
+
     for m in _TOKEN.finditer(page):
         text = m.group("text")
         if text is not None:
@@ -95,12 +122,18 @@ def leaf_blocks(page: str) -> list[Block]:
             links = max(0, links + (-1 if m.group("close") else 1))
         if tag in INLINE or (tag in VOID and tag != "hr"):
             continue
-        flush()
+        if tag in HIDDEN and not m.group("close"):
+            if tag != "svg" or not m.group("attrs").endswith("/"):
+                hidden.append((len(stack), parts, linked, links, len(blocks)))
+                stack.append((tag, (f"t:{tag}",)))
+                parts, linked = [], 0
+            continue
+        if tag not in HIDDEN:
+            flush()
         if m.group("close"):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    del stack[k:]
-                    links = 0
+                    cut(k, closed=True)
                     break
             continue
         if tag == "hr":
@@ -108,8 +141,7 @@ def leaf_blocks(page: str) -> list[Block]:
         for k in range(len(stack) - 1, -1, -1):
             ends = _ENDS.get(stack[k][0], ())
             if ends is None or tag in ends:
-                del stack[k:]
-                links = 0
+                cut(k)
             if stack and k < len(stack) and stack[k][0] not in _ENDS:
                 break
         words = [f"t:{tag}"]
@@ -121,6 +153,8 @@ def leaf_blocks(page: str) -> list[Block]:
                     words += [f"c:{w}" for w in re.findall(r"[a-z]+", "".join(values).lower())]
         stack.append((tag, tuple(words)))
     flush()
+    cut(0)
+    flush()
     return blocks
 
 

@@ -271,6 +271,27 @@ def test_pages():
     assert field.extract("") == ""
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<p>a</p><svg-icon name="x"></svg-icon><article><p>b</p></article>', ["a", "b"]),
+        ("<button-group><p>a</p></button-group><select-box/><p>b</p>", ["a", "b"]),
+        ('<p>a <svg class="i"/> b</p><p>c</p>', ["a b", "c"]),
+        ("<p>a <svg><g><title>t</title><path d='m'/></g></svg> b</p><p>c</p>", ["a b", "c"]),
+        ("<p>a <button>no <b>way</b></button> b</p>c", ["a b", "c"]),
+        ("<div><button>no</div><article><p>b</p></article>", ["b"]),
+        ("<div>a<button>no</div>b<p>c <svg><path></p>d", ["a", "b", "c", "d"]),
+        ("<body>a<button>no<article><p>b</p></article><button>no</button><p>c</p></body>", ["a", "b", "c"]),
+        ("<div><select><option>no<option>no</div><p>b</p><select><option>no</select><p>c</p>", ["b", "c"]),
+        ("<noscript><p>no</p></noscript><p>b</p><noscript>no<p>c</p>", ["b", "c"]),
+        ("<template><div><p>no</p></div></template>b", ["b"]),
+        ("<p>a</p><script>no</script ><style>no</style><textarea><p>no</p></textarea><p>b</p><iframe>no", ["a", "b"]),
+    ],
+)
+def test_text_around_hidden_elements(page, want):
+    assert [b.text for b in html_text.leaf_blocks(page)] == want
+
+
 def test_page_table(spark):
     schema = "page_id long, url string, html string, text string, id int"
     rows = [(1, None, None, "t", 1), (2, "u", "", "t", 1), (None, "u", "<article><p>Some text here. It goes on.</article>", "t", 1)]
