@@ -9,8 +9,10 @@ years 1900 to 2099), repeats (of one character or a group), keyboard walks
 programming over its places: costs multiply, and a way of k parts costs k! more.
 Values that overlap a base span are not added again.
 
-Words are those of the list below and, ranked by how many documents have them,
-words of the corpus (``corpus_words``); the query uses the list.
+Words are those of the list below and, after them, at most 20,000 words of the
+corpus ranked by how many documents have them (``dictionary``). Values after a
+credential word are left out of that count, and so are words of fewer than
+MIN_DOCUMENTS documents, or a secret would be its own dictionary word.
 
 Defined cases: a null text is empty; a value longer than MAX_VALUE characters is
 hard to guess if one of its windows of MAX_VALUE characters is, which half
@@ -31,10 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.llm.common import meets, slices, table, texts
+from shopmart.session import materialize
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_LOG10 = 10.0
 MAX_VALUE = 64
+MIN_DOCUMENTS = 3
 
 
 def _either_case(word: str) -> str:
@@ -51,6 +55,11 @@ _CONTEXT_WORDS = ("password", "passwd", "passphrase", "passcode", "pass", "pwd",
 _CONTEXT = re.compile(
     rf"""(?<![A-Za-z])(?:{"|".join(_either_case(w) for w in _CONTEXT_WORDS)})["']?(?:\x20*[:=]\x20*|\x20+(?:is|was)\x20+)["']?([^\s"'<>]+)"""
 )
+#: The same values for Java's patterns.
+_VALUES = (
+    rf"""(?:(?:{_KEYWORDS})["']?\x20*[:=]|(?<![A-Za-z])(?:{"|".join(_either_case(w) for w in _CONTEXT_WORDS)})["']?"""
+    r"""(?:\x20*[:=]|\x20+(?:is|was)\x20))\x20*["']?[^\s"'<>]+"""
+)
 #: Any match of the patterns holds one of these.
 _HINTS = ("pass", "pwd", "pin", "secret", "token", "api", "credential", "bearer")
 
@@ -76,15 +85,22 @@ _DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\
 _LEET = str.maketrans("430157$@", "aeoist" + "sa")
 
 
+class Ranks(dict):
+    """Words with their rank, and the length of the longest."""
+
+    def __init__(self, ranks: dict[str, int]) -> None:
+        super().__init__(ranks)
+        self.longest = max(map(len, ranks), default=0)
+
+
 def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
     """log10 of the tries of the cheapest segmentation. The time grows with the square of the length."""
-    ranks = ranks or _COMMON_RANKS
+    ranks = ranks if isinstance(ranks, Ranks) else Ranks(ranks or _COMMON_RANKS)
     n, low = len(value), value.lower()
     plain = low.translate(_LEET)
     spans: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # by end: (start, log10)
-    longest = max(map(len, ranks), default=0)
     for i in range(n):
-        for j in range(i + 2, min(n, i + longest) + 1):
+        for j in range(i + 2, min(n, i + ranks.longest) + 1):
             rank = ranks.get(low[i:j]) or ranks.get(plain[i:j])
             if rank:
                 cost = math.log10(rank + 1)
@@ -123,7 +139,7 @@ def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
     return min((best[k][n] + math.log10(math.factorial(k)) for k in range(1, min(n, 8) + 1)), default=0.0)
 
 
-_COMMON_RANKS = {w: i + 1 for i, w in enumerate(COMMON)}
+_COMMON_RANKS = Ranks({w: i + 1 for i, w in enumerate(COMMON)})
 
 
 def hard_to_guess(value: str, min_log10: float = MIN_LOG10, ranks: dict[str, int] | None = None) -> bool:
@@ -150,21 +166,34 @@ def find_secrets(text: str, min_log10: float = MIN_LOG10, ranks: dict[str, int]
     return sorted(spans)
 
 
-def corpus_words(docs: DataFrame, text: str = "text", most: int = 20_000) -> dict[str, int]:
-    """The ``most`` words in the most documents, with their rank; a bounded dictionary for ``guess_cost``."""
+def corpus_words(docs: DataFrame, text: str = "text", most: int = 20_000, least: int = 1) -> dict[str, int]:
+    """The ``most`` words in the most documents, at least ``least``, with their rank; a bounded dictionary for ``guess_cost``."""
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+"))).alias("word"))
-    counted = words.where(F.length("word") >= 3).groupBy("word").agg(F.count("*").alias("n"))
+    counted = words.where(F.length("word") >= 3).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    # Written first: each task that sorts sends ``most`` rows to the driver, so a few of them sort.
+    counted = materialize(counted, "secret-words").coalesce(8)
     return {r["word"]: i + 1 for i, r in enumerate(counted.orderBy(F.desc("n"), "word").limit(most).collect())}
 
 
+def dictionary(docs: DataFrame, text: str = "text", least: int = MIN_DOCUMENTS) -> Ranks:
+    """The list, then the words of all documents outside of values after a credential word."""
+    hinted = F.lower(text).rlike("|".join(_HINTS))
+    prose = docs.select(F.when(hinted, F.regexp_replace(text, _VALUES, " ")).otherwise(F.col(text)).alias("text"))
+    ranks = dict(_COMMON_RANKS)
+    for word in corpus_words(prose, least=least):
+        ranks.setdefault(word, len(ranks) + 1)
+    return Ranks(ranks)
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks: dict[str, int] | None = None) -> DataFrame:
     """(id, spans) of every row, spans as an array of (start, kind, end) in code points."""
     kind = pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())])
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)  # at most the list and 20,000 words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                found = [[{"start": s, "kind": KINDS[k], "end": e} for s, k, e in find_secrets(t, ranks=ranks)] for t in texts(batch)]
+                found = [[{"start": s, "kind": KINDS[k], "end": e} for s, k, e in find_secrets(t, ranks=sent.value)] for t in texts(batch)]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(kind))], ["id", "spans"])
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
@@ -172,7 +201,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks: dict[s
 
 
 def op8_secrets(spark, folder: str) -> DataFrame:
-    found = scan(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents")
+    found = scan(docs, ranks=dictionary(docs))
     base = F.filter("spans", lambda x: x["kind"] != "guess")
     joined = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 

@@ -371,6 +371,16 @@ def test_guess_cost(spark, odd, empty):
     assert ranks["brown"] == 1 and ranks["the"] == 8
 
 
+def test_secrets_query_knows_words_of_the_corpus(spark, tmp_path):
+    prose = "The documentation of umbrella and telescope, geschäftsführung"
+    secret = "the secret is qhvzkwpjxmrt"  # many copies don't make it a word
+    texts = [prose, prose, prose, "the secret is documentation", "passphrase: UmbrellaTelescope", "pwd was geschäftsführung", secret, secret, secret, secret]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["spans"] for r in secrets.op8_secrets(spark, str(tmp_path)).collect()}
+    assert got == {k: "guess:14:26" if t == secret else "" for k, t in enumerate(texts)}
+
+
 def test_toxicity(spark, odd, empty):
     rng = np.random.default_rng(4)
     rows, labels = [], []
