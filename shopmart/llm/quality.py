@@ -5,19 +5,19 @@ DataFrame functions only. Two histograms are compared by Jensen-Shannon distance
 classes, and the shares of the language's common words. The references are
 learned from all documents: per language the pooled counts, and as common words
 those that make up at least ``common_share`` of the language's words (at most
-1 / common_share of them). A language gets a reference if it holds at least
-``language_share`` of all words, so the references, which are broadcast, have at
-most 1 / (language_share * common_share) entries. Other languages, and null, use
-the average of the references weighted by their words.
+1 / common_share of them). Texts whose language is null count as languages by
+their bytes a character, see _key(). A language gets a reference
+if it holds at least ``least_words`` words, below which a histogram is not stable.
+Up to MAX_BROADCAST references are broadcast, more are joined by sorting.
 
 Guards: the class histogram counts from ``min_chars`` characters on, the
 common-word histogram from ``min_words`` words on. Rows that fail the base rules
 are rejected without a look at the distances.
 
-Defined cases: a null text has no words and fails the base; a null or rare
-``lang`` uses the average reference; without any reference (no words at all)
-only the base rules count; repeated rows each get their verdict; an empty table
-gives an empty result; other columns, whatever their names, are carried in
+Defined cases: a null text has no words and fails the base; of a language
+without a reference (too few words) distances are null and only the base rules
+count; repeated rows each get their verdict; an empty table gives an empty
+result; other columns, whatever their names, are carried in
 ``row`` and never looked at.
 """
 
@@ -38,6 +38,10 @@ MAX_CLASS_DISTANCE = 0.16
 MAX_WORD_DISTANCE = 0.45
 MIN_CHARS = 200
 MIN_WORDS = 50
+#: Words from which on a language gets a reference.
+LEAST_WORDS = 5_000
+#: Languages; each has at most 1 / common_share words.
+MAX_BROADCAST = 1_000
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -86,18 +90,31 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
+def _key(lang: Column, text: Column) -> Column:
+    """Of a language. Where it is null, of the texts with as many bytes a character, in quarters: other
+    scripts aren't judged by Latin ones.
+    """
+    width = F.floor(F.coalesce(F.try_divide(4 * F.octet_length(text), F.length(text)), F.lit(0)))
+    return F.coalesce(F.concat(F.lit("="), lang.cast("string")), F.concat(F.lit("?"), width.cast("string")))
+
+
+def _held(refs: DataFrame, small: bool) -> DataFrame:
+    """What is known of the languages, for a join."""
+    return F.broadcast(refs) if small else refs.hint("merge")
+
+
 def references(
     docs: DataFrame,
     text: str = "text",
     lang: str = "lang",
     common_share: float = 0.01,
-    language_share: float = 0.001,
+    least_words: int = LEAST_WORDS,
     buckets: int = 8192,
 ) -> DataFrame:
-    """One row per language with ``words``, ``word_shares`` (the last: all others)
-    and ``class_shares``; the row whose language is null is the weighted average.
+    """One row per ``lang`` (its _key) with ``words``, ``word_shares`` (the last: all others)
+    and ``class_shares``.
     """
-    rows = docs.select(F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = docs.select(_key(F.col(lang), F.coalesce(F.col(text), F.lit(""))).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     counts = _class_counts(F.col("t"), F.col("rest"))
     rows = rows.withColumn("w", word_array(F.col("t"))).withColumn("rest", _rest(F.col("t")))
     # A word of that share lies in a bucket of at least that share, so that only
@@ -113,7 +130,6 @@ def references(
     weights = spread.groupBy("lang", "bucket").agg(F.count("*").alias("n"), *sums)
     weights = materialize(weights, "quality-buckets")
     totals = weights.groupBy("lang").agg(F.sum("n").alias("total"))
-    everything = totals.agg(F.sum("total").alias("all"))
     classes = (
         weights.groupBy("lang")
         .agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(CHAR_CLASSES))])
@@ -121,65 +137,39 @@ def references(
         .withColumn("of", _total(F.col("c")))
         .select("lang", _shares(F.col("c"), F.col("of")).alias("class_shares"))
     )
-    # At most 1 / language_share rows.
-    known = (
-        totals.where(F.col("lang").isNotNull())
-        .crossJoin(F.broadcast(everything))
-        .where(F.col("total") >= F.col("all") * language_share)
-        .select("lang", "total")
-    )
+    known = totals.where(F.col("total") >= least_words).join(classes, "lang")
+    known = materialize(known, "quality-languages")
+    small = known.count() <= MAX_BROADCAST
     # At most 1 / common_share rows per language.
     heavy = (
-        weights.join(F.broadcast(known), "lang")
+        weights.join(_held(known.select("lang", "total"), small), "lang")
         .where(F.col("n") >= F.col("total") * common_share)
         .select("lang", "bucket", "total")
     )
     common = (
-        spread.select("lang", "word", "bucket").join(F.broadcast(heavy), ["lang", "bucket"])
+        spread.select("lang", "word", "bucket").join(_held(heavy, small), ["lang", "bucket"])
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"), F.first("total").alias("total"))
         .where(F.col("n") >= F.col("total") * common_share)
         .select("lang", "word", (F.col("n") / F.col("total")).alias("share"), "total")
     )
-    known = known.join(classes, "lang")
-    common = materialize(common, "quality-common")
-    known = materialize(known, "quality-languages")
-    weight = known.agg(F.sum("total").alias("all"))
-    average_words = (
-        common.groupBy("word")
-        .agg(F.sum(F.col("share") * F.col("total")).alias("n"))
-        .crossJoin(F.broadcast(weight))
-        .select(F.lit(None).cast("string").alias("lang"), "word", (F.col("n") / F.col("all")).alias("share"))
-    )
-    average_classes = known.agg(
-        *[
-            (F.sum(F.col("class_shares")[i] * F.col("total")) / F.sum("total")).alias(f"c{i}")
-            for i in range(len(CHAR_CLASSES))
-        ]
-    ).select(
-        F.lit(None).cast("string").alias("lang"),
-        F.array(*[F.col(f"c{i}") for i in range(len(CHAR_CLASSES))]).alias("class_shares"),
-    )
     lists = (
-        common.select("lang", "word", "share")
-        .unionByName(average_words)
-        .groupBy("lang")
+        common.groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("share")).alias("s"), "word"))).alias("l"))
         .select(
-            F.col("lang").alias("of"),
+            "lang",
             F.col("l.word").alias("words"),
             F.transform("l", lambda x: -x["s"]).alias("s"),
         )
     )
-    shares = known.select("lang", "class_shares").unionByName(average_classes)
     rest = F.greatest(1 - F.aggregate("s", F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
-    joined = shares.join(lists, F.col("lang").eqNullSafe(F.col("of")), "left").select(
+    joined = known.join(lists, "lang", "left").select(
         "lang",
         F.coalesce("words", F.array().cast("array<string>")).alias("words"),
         F.coalesce(F.concat("s", F.array(rest)), F.array(F.lit(1.0))).alias("word_shares"),
         "class_shares",
     )
-    return materialize(joined.where(F.col("class_shares")[0].isNotNull()), "quality-references")
+    return materialize(joined, "quality-references")
 
 
 def assess(
@@ -196,15 +186,9 @@ def assess(
     refs = references(docs, text, lang) if refs is None else refs
     t, words, windows = F.col("t"), F.col("w"), F.col("g")
     rows = docs.select(F.struct("*").alias("row"))
-    rows = rows.select("row", F.coalesce(F.col(f"row.{text}"), F.lit("")).alias("t"), F.col(f"row.{lang}").alias("k"))
-    own = refs.where(F.col("lang").isNotNull()).select(F.col("lang").alias("k"), F.struct("words", "word_shares", "class_shares").alias("own"))
-    average = refs.where(F.col("lang").isNull()).select(F.struct("words", "word_shares", "class_shares").alias("average"))
-    rows = (
-        # Both sides that are broadcast are bounded, see references().
-        rows.join(F.broadcast(own), "k", "left")
-        .join(F.broadcast(average), F.lit(True), "left")
-        .select("row", "t", F.coalesce("own", "average").alias("ref"))
-    )
+    rows = rows.select("row", F.coalesce(F.col(f"row.{text}"), F.lit("")).alias("t"), _key(F.col(f"row.{lang}"), F.coalesce(F.col(f"row.{text}"), F.lit(""))).alias("k"))
+    own = refs.select(F.col("lang").alias("k"), F.struct("words", "word_shares", "class_shares").alias("ref"))
+    rows = rows.join(_held(own, refs.count() <= MAX_BROADCAST), "k", "left").select("row", "t", "ref")
     lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.select("row", "t", "ref", word_array(t).alias("w"), lines.alias("l"), _rest(t).alias("rest"))
     triples = F.arrays_zip(
@@ -263,7 +247,8 @@ def assess(
     for name in ("word", "class"):
         counts, total = F.col(f"{name}_counts"), F.col(f"{name}_total")
         rows = rows.withColumn(f"{name}_total", _total(counts))
-        rows = rows.withColumn(f"{name}_distance", js_distance(_shares(counts, total), F.col(f"ref.{name}_shares")))
+        distance = js_distance(_shares(counts, total), F.col(f"ref.{name}_shares"))
+        rows = rows.withColumn(f"{name}_distance", F.when(F.col("ref").isNotNull(), distance))
     odd = ((F.col("length") >= min_chars) & (F.col("class_distance") > max_class_distance)) | (
         (F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance)
     )

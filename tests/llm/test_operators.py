@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shopmart.llm import common, decontaminate, html_text, language, mixing, pii, quality, secrets, simhash, tokens, toxicity
 from shopmart.llm.components import components
@@ -227,6 +228,30 @@ def test_quality_distance(spark):
     assert frame.select(quality.js_distance(frame.p, frame.q)).first()[0] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("most", [1000, 0])
+def test_quality_of_small_languages(spark, monkeypatch, most):
+    """Clean texts of another script stay, also beside a big language; null has a reference."""
+    monkeypatch.setattr(quality, "MAX_BROADCAST", most, raising=False)
+    rng = np.random.default_rng(4)
+
+    def clean(letters):
+        words = np.array(["".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(150)])
+        weights = np.r_[np.full(5, 0.1), np.full(145, 0.5 / 145)]
+        return lambda n=150: " ".join(rng.choice(words, n, p=weights))
+
+    latin, russian, greek = clean("abcdefghijklm"), clean("абвгдежзиклмн"), clean("αβγδεζηθ")
+    junk = " ".join("#%d%%" % i for i in range(150))
+    rows = [(i, latin(1000), "en") for i in range(200)] + [(1000 + i, russian(), "ru") for i in range(40)]
+    rows += [(2000, greek(), "el"), (3000, junk, "ru")]
+    rows += [(4000 + i, latin(), None) for i in range(40)] + [(5000, junk, None), (6000, russian(), None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality.assess(frame, quality.references(frame)).collect()
+    assert {r["row"]["doc_id"] for r in got if not r["base_failed"] and not r["kept"]} == {3000, 5000}
+    assert all((r["class_distance"] is None) == (r["row"]["doc_id"] in (2000, 6000)) for r in got)
+    alone = quality.assess(frame.where("lang is null").withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r["row"]["doc_id"] for r in alone if not r["kept"]} == {5000}
+
+
 def _phrases(text, reference):
     points = "".join(chr(c) for c in language.normalise(text))
     reference = "".join(chr(c) for c in language.normalise(reference))
