@@ -66,17 +66,18 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return result
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp), the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE, others: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fp) and the columns ``others``, longs; the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 found = np.array([fingerprint(t, shingle) for t in texts(batch)], np.uint64)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found.view(np.int64))], ["id", "fp"])
+                columns = [batch.column("id"), pa.array(found.view(np.int64)), *map(batch.column, others)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "fp", *others])
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), *others)
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in ("id", "fp", *others)))
 
 
 def _syndromes(half: np.ndarray) -> np.ndarray:
@@ -152,11 +153,20 @@ def op3_simhash(spark, folder: str) -> DataFrame:
 
 
 def keep_first(spark, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: of each component the document of the smallest id, once.
+    """Pipeline stage: of each component one row, the one of the smallest id.
 
-    Rows without an id can't be named and stay.
+    Rows, not ids, are chosen and kept: an id may have several texts, or be null
+    (last in order). Among rows of one id the smallest hash of the text decides,
+    among equal texts any one stays. Places are written with the rows, so that
+    all passes see the same ones.
     """
-    found = near_duplicates(docs)
-    others = found.where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.where(F.col("doc_id").isNotNull()).join(others, "doc_id", "left_anti").select(docs.columns)
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    placed = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("place"))
+    placed = materialize(placed, "simhash-docs")
+    told = placed.select("row.doc_id", "row.text", "place", F.xxhash64("row.text").alias("hash"))
+    rows = materialize(fingerprints(told, "doc_id", "text", others=("place", "hash")), "simhash")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "place")
+    values = materialize(rows.groupBy("fp").agg(F.min(order).alias("first")), "simhash-values")
+    reached = components(links(values)).select(F.col("node").alias("fp"), "root")
+    roots = values.join(reached, "fp", "left").select(F.coalesce("root", "fp").alias("root"), "first")
+    kept = roots.groupBy("root").agg(F.min("first").alias("first")).select("first.place")
+    return placed.join(kept, "place", "left_semi").select("row.*")

@@ -228,6 +228,17 @@ def test_quality_distance(spark):
     assert frame.select(quality.js_distance(frame.p, frame.q)).first()[0] == pytest.approx(want)
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Ids that are repeated or null: rows are kept, not ids."""
+    rng = np.random.default_rng(6)
+    a, b, c, d = (" ".join(f"w{k}" for k in rng.integers(0, 10**6, 60)) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (2, c), (3, b), *[(None, d)] * 50, (None, a), (4, c.upper())]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, place string")
+    got = simhash.keep_first(spark, frame, "")
+    assert got.columns == frame.columns
+    assert sorted(got.select("text", "doc_id").collect()) == sorted([(a, 1), (b, 2), (c, 2), (d, None)])
+
+
 @pytest.mark.parametrize("most", [1000, 0])
 def test_quality_of_small_languages(spark, monkeypatch, most):
     """Clean texts of another script stay, also beside a big language; null has a reference."""
