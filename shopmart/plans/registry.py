@@ -126,27 +126,28 @@ def query(function: Query) -> Query:
 def load_audit(m: Models) -> DataFrame:
     """Rows and hash of every stored file of the source tables.
 
-    A table is a file or a folder of part files; a folder's rows are counted per
-    part. A part that the count does not name holds no rows.
+    A table is a file or a folder of part files, in partition folders at any depth;
+    rows are counted per part, by its whole path, which the scan gives encoded. A listed part without rows has
+    0; a part with rows that is not listed is an error.
     """
-
-    def table_in(column: str) -> Column:
-        found = F.regexp_extract(column, r"^(.*)\.parquet$", 1)
-        return F.when(found.isin(*m.source), found)
-
-    files = landing.list_files(m.spark, m.folder).filter(~F.col("file_name").rlike("^[._]"))
-    table = F.coalesce(table_in("file_name"), table_in("parent"))
-    named = files.withColumn("table_name", table).filter(F.col("table_name").isNotNull())
-    hashed = landing.file_hashes(named)
+    listed = [
+        landing.list_files(m.spark, f"{m.folder}/{name}.parquet").withColumn("table_name", F.lit(name))
+        for name in m.source
+    ]
+    hashed = landing.file_hashes(reduce(DataFrame.unionByName, listed))
     counted = [
-        df.groupBy(F.col("_metadata.file_name").alias("file_name"))
+        df.groupBy(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("path"))
         .agg(F.count("*").alias("row_count"))
         .withColumn("table_name", F.lit(name))
         for name, df in m.source.items()
     ]
     counts = reduce(DataFrame.unionByName, counted)
-    return hashed.join(counts, ["table_name", "file_name"], "left").select(
-        "file_name", "table_name", F.coalesce("row_count", F.lit(0)).alias("row_count"), "sha256"
+    missing = F.raise_error(F.concat(F.lit("not among the listed files: "), "path")).cast("string")
+    return hashed.join(counts, ["table_name", "path"], "full").select(
+        F.coalesce("file_name", missing).alias("file_name"),
+        "table_name",
+        F.coalesce("row_count", F.lit(0)).alias("row_count"),
+        "sha256",
     )
 
 

@@ -69,3 +69,28 @@ def test_file_audit_of_tables_stored_as_folders(spark, tmp_path):
     for name in standin.TABLES:
         assert sum(r.row_count for r in audit if r.table_name == name) == rows[name]
     assert sum(r.table_name == "orders" for r in audit) == 3
+
+
+def test_file_audit_of_partition_folders(spark, tmp_path):
+    """Parts below partition folders, of the same name in two of them, and one without rows."""
+    for path in TABLES.glob("*.parquet"):
+        frame = spark.read.parquet(str(path))
+        frame.coalesce(1).write.parquet(f"{tmp_path}/{path.name}")
+    table = tmp_path / "orders.parquet"
+    orders = spark.read.parquet(str(table))
+    n = orders.count()
+    more = {"year=1997": orders.limit(5), "year=1999": orders.limit(7), "year=1998": orders.limit(0)}
+    [old] = table.glob("part-*")
+    for folder, rows in more.items():
+        rows.coalesce(1).write.parquet(str(tmp_path / "made" / folder))
+        [made] = (tmp_path / "made" / folder).glob("part-*")
+        (table / folder).mkdir()
+        (table / folder / "part-0.parquet").write_bytes(made.read_bytes())
+    (table / "year=1996").mkdir()
+    (table / "year=1996" / "part-0.parquet").write_bytes(old.read_bytes())
+    old.unlink()
+    for crc in table.glob(".*.crc"):
+        crc.unlink()
+    audit = entry.queries()["load_audit"](spark, str(tmp_path)).collect()
+    assert sorted(r.row_count for r in audit if r.table_name == "orders") == sorted([0, 5, 7, n])
+    assert {r.table_name for r in audit} == set(standin.TABLES)
