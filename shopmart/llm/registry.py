@@ -29,7 +29,19 @@ def send_package(spark: SparkSession) -> None:
 
 def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
-    from shopmart.llm import decontaminate, html_text, language, mixing, pii, quality, secrets, simhash, tokens, toxicity
+    from shopmart.llm import (
+        chat,
+        decontaminate,
+        html_text,
+        language,
+        mixing,
+        pii,
+        quality,
+        secrets,
+        simhash,
+        tokens,
+        toxicity,
+    )
 
     return {
         "op1_mixing": mixing.op1_mixing,
@@ -42,6 +54,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": secrets.op8_secrets,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_decontamination": decontaminate.op10_decontamination,
+        "op11_chat": chat.op11_chat,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -56,4 +69,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from shopmart.llm import chat
+
+    return {"op11_chat": chat.OP11_SQL}
