@@ -37,6 +37,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         mixing,
         pii,
         quality,
+        runs,
         secrets,
         simhash,
         tokens,
@@ -55,6 +56,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_decontamination": decontaminate.op10_decontamination,
         "op11_chat": chat.op11_chat,
+        "op13_runs": runs.op13_runs,
         "pipeline": corpus_pipeline.run,
     }
 
