@@ -35,6 +35,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         html_text,
         language,
         mixing,
+        phrases,
         pii,
         quality,
         runs,
@@ -56,6 +57,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_decontamination": decontaminate.op10_decontamination,
         "op11_chat": chat.op11_chat,
+        "op12_phrases": phrases.op12_phrases,
         "op13_runs": runs.op13_runs,
         "pipeline": corpus_pipeline.run,
     }
@@ -71,6 +73,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from shopmart.llm import chat
+    from shopmart.llm import chat, phrases
 
-    return {"op11_chat": chat.OP11_SQL}
+    return {"op11_chat": chat.OP11_SQL, "op12_phrases": phrases.OP12_SQL}
