@@ -1,6 +1,7 @@
 """Every query against its SQL counterpart in DuckDB, on the smallest tables."""
 
 import math
+import sys
 from pathlib import Path
 
 import duckdb
@@ -48,6 +49,19 @@ def test_query_matches_sql(spark, duck, name):
     assert got == expected
 
 
+def test_queries_do_without_the_text_operators(monkeypatch):
+    """Whether the subpackage, one of its modules or the pipeline is gone, the others stay."""
+    for gone in ("shopmart.llm", "shopmart.llm.registry", "shopmart.llm.tokens", "corpus_pipeline"):
+        with monkeypatch.context() as patch:
+            for name in [n for n in sys.modules if n.startswith(("shopmart.llm", "corpus_pipeline"))]:
+                patch.delitem(sys.modules, name)
+            if "shopmart.llm" in vars(sys.modules["shopmart"]):
+                patch.delattr(sys.modules["shopmart"], "llm")
+            patch.setitem(sys.modules, gone, None)
+            assert set(entry.queries()) == set(registry.names())
+            assert set(entry.oracle_sql()) <= set(registry.names())
+
+
 def test_entry_returns_the_kpis(spark):
     assert entry.entry(spark).count() == 1
 
