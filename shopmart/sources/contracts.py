@@ -84,9 +84,6 @@ RAW_COLUMNS: dict[str, tuple[str, ...]] = {
     ),
 }
 
-# Only free-text columns hold line breaks; every other file stays splittable.
-MULTILINE_TABLES = frozenset({"order_reviews"})
-
 
 @dataclass(frozen=True)
 class SourceFiles:
@@ -103,8 +100,13 @@ class SourceFiles:
         return dict(self.names).get(table, self.pattern.format(table=table))
 
     def all(self) -> dict[str, str]:
-        """File name by table."""
-        return {table: self.file_name(table) for table in RAW_COLUMNS}
+        """File name by table; two tables cannot share one."""
+        names = {table: self.file_name(table) for table in RAW_COLUMNS}
+        for name in sorted(set(names.values())):
+            tables = [t for t, n in names.items() if n == name]
+            if len(tables) > 1:
+                raise ValueError(f"{name} stands for {', '.join(tables)}")
+        return names
 
 
 def raw_schema(columns: list[str] | tuple[str, ...]) -> StructType:

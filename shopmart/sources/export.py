@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+_MOMENT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# Stands for a quoted empty field while reading, so that "" is not NULL.
+_QUOTED_EMPTY = "\u0000quoted-empty\u0000"
 
 
 def export_csv(marts: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
@@ -25,8 +30,27 @@ def export_csv(marts: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
             .option("escape", '"')
             .option("ignoreLeadingWhiteSpace", "false")
             .option("ignoreTrailingWhiteSpace", "false")
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+            .option("timestampNTZFormat", _MOMENT)
             .csv(f"{folder.rstrip('/')}/{name}")
         )
         counts[name] = seen.get["rows"]
     return counts
+
+
+def read_exported(spark: SparkSession, folder: str, name: str, schema: StructType) -> DataFrame:
+    """One exported mart with its types; a row that does not fit them fails the job."""
+    rows = (
+        spark.read.schema(schema)
+        .option("header", "true")
+        .option("mode", "FAILFAST")
+        .option("multiLine", "true")
+        .option("escape", '"')
+        .option("emptyValue", _QUOTED_EMPTY)
+        .option("enforceSchema", "false")
+        .option("timestampNTZFormat", _MOMENT)
+        .csv(f"{folder.rstrip('/')}/{name}")
+    )
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+    return rows.withColumns(
+        {c: F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)) for c in texts}
+    )

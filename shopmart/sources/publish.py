@@ -8,8 +8,10 @@ month), so an incremental load only writes the months it touches.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOG_SCHEMA = "version bigint, table_name string, part string, path string"
@@ -86,17 +88,33 @@ class Publisher:
         return path
 
     def write_parts(
-        self, df: DataFrame, table: str, version: int, part_of_row
+        self,
+        df: DataFrame,
+        table: str,
+        version: int,
+        part_of_row: Column,
+        drop: Sequence[str] = (),
+        spread: bool = True,
     ) -> dict[str, str]:
-        """Write one folder per value of the text column ``part_of_row``."""
+        """Write one folder per value of the text column ``part_of_row``, without columns in ``drop``.
+
+        ``spread``: rows are brought together by part first, and a part with many
+        rows is split over several tasks and files. Otherwise tasks write what they have.
+        """
         path = self._folder(table, version)
-        # A part with many rows is split over several tasks and files.
-        split = df.withColumn(_PART, part_of_row).hint("rebalance", F.col(_PART))
+        split = df.withColumn(_PART, part_of_row).drop(*drop)
+        if spread:
+            split = split.hint("rebalance", F.col(_PART))
         split.write.mode("overwrite").partitionBy(_PART).parquet(path)
         written = self.spark.read.schema(f"{_PART} string").parquet(path)
         values = [r[_PART] for r in written.distinct().collect()]
         return {value: f"{path}/{_PART}={value}" for value in values}
 
+    def part_counts(self, table: str, version: int) -> DataFrame:
+        """``part, row_count`` of the parts written for a version; reads no columns."""
+        written = self.spark.read.schema(f"{_PART} string").parquet(self._folder(table, version))
+        return written.groupBy(F.col(_PART).alias("part")).agg(F.count("*").alias("row_count"))
+
     def commit(self, version: int, tables: dict[str, str | dict[str, str]]) -> None:
         """Make all ``tables`` visible at once: one file names all their folders."""
         rows = []
