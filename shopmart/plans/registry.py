@@ -7,7 +7,8 @@ results keep their natural types until :func:`comparable`.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Mapping
 from datetime import date
 from functools import cached_property, reduce
 
@@ -26,10 +27,13 @@ from pyspark.sql.types import (
 
 from shopmart.functions.text import clean_city_name
 from shopmart.operators import checks as dq
-from shopmart.operators import sampling, snapshot, upsert
+from shopmart.operators import digest, sampling, snapshot, upsert
 from shopmart.plans import analyses, dashboard, intermediate, marts, quality, staging
-from shopmart.session import materialize
+from shopmart.session import checkpoint_dir, materialize
 from shopmart.sources import landing, standin
+from shopmart.sources.contracts import RAW_COLUMNS, SourceFiles
+from shopmart.sources.export import export_csv, read_exported
+from shopmart.sources.publish import Publisher
 
 STATES = ("NATION_1", "NATION_2", "NATION_3")
 MONTHLY_FROM, MONTHLY_TO = date(1996, 1, 1), date(1997, 8, 31)
@@ -151,6 +155,56 @@ def load_audit(m: Models) -> DataFrame:
     )
 
 
+def _scratch(m: Models, label: str) -> str:
+    return f"{checkpoint_dir(m.spark)}/shopmart/{label}-{uuid.uuid4().hex}"
+
+
+def _told(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``table_name, row_count, digest`` of the comparable content of each table."""
+    told = [
+        digest.content_digest(comparable(df)).withColumn("table_name", F.lit(name))
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, told)
+
+
+@query
+def landing_round_trip(m: Models) -> DataFrame:
+    """All raw tables written as CSV files, landed, audited and typed again.
+
+    ``audited_rows`` is what the audit of the load says, ``row_count`` and
+    ``digest`` are taken from the staged tables read back.
+    """
+    folder = _scratch(m, "landing")
+    export_csv({t: standin.as_text(m.raw[t]) for t in RAW_COLUMNS}, f"{folder}/files")
+    publisher = Publisher(m.spark, f"{folder}/raw")
+    raw = landing.load_raw(m.spark, f"{folder}/files", publisher, SourceFiles("{table}"))
+    audited = publisher.read("load_audit").groupBy("table_name").agg(F.sum("row_count").alias("audited_rows"))
+    return _told(staging.stage(raw)).join(audited, "table_name", "left")
+
+
+@query
+def export_round_trip(m: Models) -> DataFrame:
+    """All marts written as CSV files and read back with their types.
+
+    ``exported_rows`` are counted while writing, ``row_count`` and ``digest`` are
+    taken from the files.
+    """
+    built = {
+        "fct_order_items": m.fct_order_items,
+        "fct_orders": m.fct_orders(items=True, payments=True, reviews=True),
+        "dim_customers": _rounded_coordinates(m.dim_customers),
+        "dim_products": m.dim_products,
+        "dim_sellers": _rounded_coordinates(marts.dim_sellers(m.stg["sellers"], m.locations)),
+        "dim_date": m.dim_date,
+    }
+    folder = _scratch(m, "export")
+    exported = export_csv(built, folder)
+    back = {name: read_exported(m.spark, folder, name, df.schema) for name, df in built.items()}
+    counted = F.create_map(*[F.lit(x) for name, rows in exported.items() for x in (name, rows)])
+    return _told(back).withColumn("exported_rows", counted[F.col("table_name")])
+
+
 @query
 def table_row_counts(m: Models) -> DataFrame:
     return landing.row_counts(m.raw)
