@@ -1,7 +1,10 @@
 """Data-quality checks: every check yields its failing rows; none means it passed.
 
-Checks that look at one row at a time carry a predicate, so the summary counts
-all of those on a table in a single scan.
+The summary of a suite reads each table once, however many checks look at it.
+Every row yields the keys its table's checks ask about and one entry for each rule it breaks;
+those are counted by key in a single shuffle, partly before it, so a key that a third of all rows share is
+one row per task there. A key's count among the parents and among each of its
+children then tells repeated keys and orphans alike, without a join.
 """
 
 from __future__ import annotations
@@ -12,6 +15,29 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
+
+
+@dataclass(frozen=True)
+class Keys:
+    """Columns of a table taken as one key."""
+
+    table: DataFrame
+    columns: tuple[str, ...]
+
+    def types(self) -> tuple[DataType, ...]:
+        return tuple(self.table.schema[c].dataType for c in self.columns)
+
+    def same(self, other: Keys) -> bool:
+        return self.table is other.table and self.columns == other.columns
+
+    def text(self, types: Sequence[DataType]) -> Column:
+        """The key as text, equal for equal keys of these types; NULL if all columns are."""
+        columns = [F.col(c).cast(t) for c, t in zip(self.columns, types)]
+        if len(columns) == 1:
+            return columns[0].cast("string")
+        named = [c.cast("string").alias(f"c{i}") for i, c in enumerate(columns)]
+        return F.when(F.coalesce(*named).isNotNull(), F.to_json(F.struct(*named)))
 
 
 @dataclass(frozen=True)
@@ -20,6 +46,10 @@ class Check:
 
     More than ``warn_above`` failures warn; more than ``error_above`` fail the
     run, unless the severity is ``warn``.
+
+    The rest tells the summary how to count failures without ``rows``: rows of
+    ``counted`` that break ``rule``; values of ``unique`` seen more than once; rows
+    (or ``distinct`` values, NULL being one) of ``child`` that ``parent`` has not.
     """
 
     name: str
@@ -28,6 +58,13 @@ class Check:
     severity: str = "error"
     warn_above: int = 0
     error_above: int = 0
+    counted: DataFrame | None = None
+    rule: Column | None = None
+    unique: Keys | None = None
+    with_nulls: bool = False
+    child: Keys | None = None
+    parent: Keys | None = None
+    distinct: bool = False
 
     def failing(self) -> DataFrame:
         return self.rows if self.fails is None else self.rows.filter(self.fails)
@@ -74,14 +111,19 @@ def unique(table: str, df: DataFrame, column: str) -> Check:
         .agg(F.count("*").alias("n_records"))
         .filter("n_records > 1")
     )
-    return Check(f"unique:{table}.{column}", repeated)
+    return Check(f"unique:{table}.{column}", repeated, unique=Keys(df, (column,)))
 
 
 def unique_combination(table: str, df: DataFrame, columns: Sequence[str]) -> Check:
     repeated = (
         df.groupBy(*columns).agg(F.count("*").alias("n_records")).filter("n_records > 1")
     )
-    return Check(f"unique_combination:{table}:{'+'.join(columns)}", repeated)
+    return Check(
+        f"unique_combination:{table}:{'+'.join(columns)}",
+        repeated,
+        unique=Keys(df, tuple(columns)),
+        with_nulls=True,
+    )
 
 
 def relationships(
@@ -92,7 +134,12 @@ def relationships(
     orphans = child.filter(F.col(column).isNotNull()).join(
         keys, F.col(column) == F.col("__parent"), "left_anti"
     )
-    return Check(f"relationships:{table}.{column}", orphans)
+    return Check(
+        f"relationships:{table}.{column}",
+        orphans,
+        child=Keys(child, (column,)),
+        parent=Keys(parent, (parent_column,)),
+    )
 
 
 def _row(check: Check, failures: Column) -> Column:
@@ -105,22 +152,97 @@ def _row(check: Check, failures: Column) -> Column:
     )
 
 
+class _Suite:
+    """The entries each table yields, and what they tell of each check.
+
+    An entry is (domain, key, slot). The keys of a parent or of a unique check
+    are a domain with slot 0, its children have the slots from 1 on; a broken rule is a domain of its own, without a key.
+    """
+
+    def __init__(self) -> None:
+        self.domains: list[tuple[Keys | None, bool]] = []
+        self.slots: list[int] = []
+        self.entries: dict[int, tuple[DataFrame, list[Column]]] = {}
+        self.failures: list[tuple[Check, Column]] = []
+
+    def _yield(self, table: DataFrame, entry: Column) -> None:
+        self.entries.setdefault(id(table), (table, []))[1].append(entry)
+
+    @staticmethod
+    def _entry(domain: int, key: Column, slot: int) -> Column:
+        return F.struct(F.lit(domain).alias("domain"), key.alias("key"), F.lit(slot).alias("slot"))
+
+    def _domain(self, keys: Keys, with_nulls: bool) -> int:
+        for d, (known, nulls) in enumerate(self.domains):
+            if known is not None and known.same(keys) and nulls == with_nulls:
+                return d
+        self.domains.append((keys, with_nulls))
+        self.slots.append(0)
+        d, key = len(self.domains) - 1, keys.text(keys.types())
+        key = F.coalesce(key, F.lit("")) if with_nulls else key
+        self._yield(keys.table, F.when(key.isNotNull(), self._entry(d, key, 0)))
+        return d
+
+    def add(self, check: Check) -> bool:
+        """Take a check into the one pass; False if it can only be counted by its rows."""
+        at = F.col("domain")
+        if check.unique is not None:
+            d = self._domain(check.unique, check.with_nulls)
+            self.failures.append((check, F.sum(F.when(at == d, F.col("repeated")))))
+        elif check.child is not None and check.parent is not None:
+            d = self._domain(check.parent, check.distinct)
+            self.slots[d] += 1
+            slot, key = self.slots[d], check.child.text(check.parent.types())
+            key = F.coalesce(key, F.lit("")) if check.distinct else key
+            self._yield(check.child.table, F.when(key.isNotNull(), self._entry(d, key, slot)))
+            orphans = f"{'lost' if check.distinct else 'orphans'}{slot}"
+            self.failures.append((check, F.sum(F.when(at == d, F.col(orphans)))))
+        else:
+            table, rule = (check.counted, check.rule) if check.rule is not None else (check.rows, check.fails)
+            if rule is None:
+                return False
+            self.domains.append((None, False))
+            self.slots.append(0)
+            d = len(self.domains) - 1
+            self._yield(table, F.when(rule, self._entry(d, F.lit("").cast("string"), 0)))
+            self.failures.append((check, F.sum(F.when(at == d, F.col("own")))))
+        return True
+
+    def rows(self) -> DataFrame:
+        """One row per check."""
+        told = [
+            table.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+            for table, entries in self.entries.values()
+        ]
+        entries = reduce(DataFrame.unionAll, told)
+        counts = [F.count_if(F.col("slot") == j).alias(f"s{j}") for j in range(max(self.slots) + 1)]
+        counted = entries.groupBy("domain", "key").agg(*counts)
+        orphans = [
+            aggregate
+            for j in range(1, max(self.slots) + 1)
+            for aggregate in (
+                F.sum(F.when(F.col("s0") == 0, F.col(f"s{j}"))).alias(f"orphans{j}"),
+                F.count_if((F.col("s0") == 0) & (F.col(f"s{j}") > 0)).alias(f"lost{j}"),
+            )
+        ]
+        # One row per domain, of which there are no more than checks.
+        counted = counted.groupBy("domain").agg(
+            F.sum("s0").alias("own"), F.count_if(F.col("s0") > 1).alias("repeated"), *orphans
+        )
+        results = F.array(*[_row(c, F.coalesce(failures, F.lit(0))) for c, failures in self.failures])
+        return counted.agg(results.alias("all")).select(F.inline("all"))
+
+
 def summary(checks: Sequence[Check]) -> DataFrame:
     """``check, severity, failures, status`` with one row per check.
 
-    All predicate checks on the same DataFrame share one scan.
+    Each table is scanned once for all checks that look at its rows and keys; only
+    checks that are a query of their own add scans.
     """
-    by_frame: dict[int, list[Check]] = {}
-    counted: list[DataFrame] = []
-    for check in checks:
-        if check.fails is None:
-            counted.append(check.rows.agg(_row(check, F.count("*")).alias("r")))
-        else:
-            by_frame.setdefault(id(check.rows), []).append(check)
-    for group in by_frame.values():
-        results = F.array(*[_row(c, F.count_if(c.fails)) for c in group])
-        counted.append(group[0].rows.agg(results.alias("all")).select(F.explode("all").alias("r")))
-    rows = reduce(DataFrame.unionByName, counted).select("r.*")
+    suite = _Suite()
+    alone = [c for c in checks if not suite.add(c)]
+    told = [c.rows.agg(_row(c, F.count("*")).alias("r")).select("r.*") for c in alone]
+    rows = reduce(DataFrame.unionByName, ([suite.rows()] if suite.failures else []) + told)
     blocking = (F.col("severity") == "error") & (F.col("failures") > F.col("error_above"))
     status = (
         F.when(blocking, "error").when(F.col("failures") > F.col("warn_above"), "warn")

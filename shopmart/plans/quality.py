@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.operators import checks as dq
-from shopmart.operators.checks import Check
+from shopmart.operators.checks import Check, Keys
 
 # Domains of coded columns.
 ORDER_STATUSES = (
@@ -214,24 +214,29 @@ def mart_checks(marts: Mapping[str, DataFrame], stg_items: DataFrame) -> list[Ch
 def every_item_reaches_the_fact(stg_items: DataFrame, fct_order_items: DataFrame) -> Check:
     key = ("order_id", "order_item_id")
     lost = stg_items.select(*key).subtract(fct_order_items.select(*key))
-    return Check("every_item_reaches_the_fact", lost)
+    return Check(
+        "every_item_reaches_the_fact",
+        lost,
+        child=Keys(stg_items, key),
+        parent=Keys(fct_order_items, key),
+        distinct=True,
+    )
 
 
 def payments_cover_the_order(fct_orders: DataFrame, tolerance: int = 1) -> Check:
     """Paying more is normal (interest); a few underpaid orders only warn."""
     due = F.col("items_amount") + F.col("freight_amount")
-    underpaid = fct_orders.filter(
-        F.col("payments_count").isNotNull() & (F.col("payment_amount") < due - tolerance)
-    ).select("order_id", due.alias("amount_due"), "payment_amount")
-    return Check("payments_cover_items_and_freight", underpaid, error_above=100)
+    rule = F.col("payments_count").isNotNull() & (F.col("payment_amount") < due - tolerance)
+    underpaid = fct_orders.filter(rule).select("order_id", due.alias("amount_due"), "payment_amount")
+    return Check(
+        "payments_cover_items_and_freight", underpaid, error_above=100, counted=fct_orders, rule=rule
+    )
 
 
 def revenue_only_from_delivered(fct_order_items: DataFrame) -> Check:
-    wrong = fct_order_items.filter("revenue <> 0 and order_status <> 'delivered'")
-    return Check(
-        "revenue_only_from_delivered",
-        wrong.select("order_id", "order_item_id", "order_status", "revenue"),
-    )
+    rule = F.expr("revenue <> 0 and order_status <> 'delivered'")
+    wrong = fct_order_items.filter(rule).select("order_id", "order_item_id", "order_status", "revenue")
+    return Check("revenue_only_from_delivered", wrong, counted=fct_order_items, rule=rule)
 
 
 def revenue_reconciles(fct_order_items: DataFrame, fct_orders: DataFrame) -> Check:

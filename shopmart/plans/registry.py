@@ -28,7 +28,7 @@ from pyspark.sql.types import (
 from shopmart.functions.text import clean_city_name
 from shopmart.operators import checks as dq
 from shopmart.operators import digest, sampling, snapshot, upsert
-from shopmart.plans import analyses, dashboard, intermediate, marts, quality, staging
+from shopmart.plans import analyses, daily, dashboard, intermediate, marts, quality, staging
 from shopmart.session import checkpoint_dir, materialize
 from shopmart.sources import landing, standin
 from shopmart.sources.contracts import RAW_COLUMNS, SourceFiles
@@ -678,6 +678,42 @@ def dq_summary(m: Models) -> DataFrame:
     )
 
 
+def _seeds(m: Models) -> dict[str, DataFrame]:
+    holidays = m.dim_date.filter("is_br_holiday")
+    return {
+        "national_holidays": holidays.select(F.col("date_day").alias("holiday_date"), "holiday_name"),
+        "category_overrides": marts.category_overrides(m.spark, standin.OVERRIDES),
+    }
+
+
+@query
+def dq_suite_staging(m: Models) -> DataFrame:
+    """Every check of the sources and seeds."""
+    return dq.summary(quality.staging_checks({**m.stg, **_seeds(m)}))
+
+
+@query
+def dq_suite_intermediate(m: Models) -> DataFrame:
+    """Every check of the intermediate models."""
+    return dq.summary(quality.intermediate_checks(daily.build_intermediate(m.stg)))
+
+
+@query
+def dq_suite_marts(m: Models) -> DataFrame:
+    """Every check of the marts, business rules included."""
+    models = daily.build_intermediate(m.stg)
+    orders, locations = models["orders_enriched"], models["zip_code_locations"]
+    built = {
+        "fct_order_items": marts.fct_order_items(m.stg["order_items"], orders),
+        "fct_orders": marts.fct_orders(orders),
+        "dim_customers": marts.dim_customers(models["customer_orders"], locations),
+        "dim_products": m.dim_products,
+        "dim_sellers": marts.dim_sellers(m.stg["sellers"], locations),
+        "dim_date": m.dim_date,
+    }
+    return dq.summary(quality.mart_checks(built, m.stg["order_items"]))
+
+
 @query
 def source_profile(m: Models) -> DataFrame:
     return quality.source_profile(m.raw, m.stg)

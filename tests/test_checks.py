@@ -124,3 +124,66 @@ def test_the_suite_has_every_check():
     references = sum(len(r) for r in quality.REFERENCES.values())
     grains = sum(len(g) for g in quality.GRAINS.values())
     assert (not_null, unique, references, grains) == (53, 19, 14, 4)
+
+
+def test_a_suite_scans_each_table_once(spark, frame, tmp_path):
+    """Thirty checks over three tables: three scans, one shuffle by key, no join."""
+    for name, rows in (("parents", [(1,), (2,)]), ("children", [(1, 1), (9, 2)]), ("others", [(1, 3), (3, 4)])):
+        schema = "pid int" if name == "parents" else "fk int, n int"
+        frame(rows, schema).write.parquet(str(tmp_path / name))
+    parents, children, others = (spark.read.parquet(str(tmp_path / n)) for n in ("parents", "children", "others"))
+    checks = [dq.unique("parents", parents, "pid"), dq.not_null("parents", parents, "pid")]
+    for name, table in (("children", children), ("others", others)):
+        checks += [
+            dq.relationships(name, table, "fk", parents, "pid"),
+            dq.unique(name, table, "n"),
+            dq.unique_combination(name, table, ("fk", "n")),
+            *[dq.accepted_range(name, table, "n", k) for k in range(10)],
+        ]
+    summary = dq.summary(checks)
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3 and "Join" not in plan
+    failures = {r["check"]: r["failures"] for r in summary.collect()}
+    assert failures["relationships:children.fk"] == failures["relationships:others.fk"] == 1
+
+
+def test_summary_counts_what_the_checks_find(frame):
+    """Every kind of check, with nulls, repeated and missing keys, other key types and empty tables."""
+    parent = frame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, None)], "pid long, code string")
+    child = frame([(1, 1), (2, 1), (7, 1), (7, 1), (None, None), (None, None), (None, 5)], "fk int, n int")
+    nothing = frame([], "fk int, n int")
+    pairs = dq.Keys(child, ("fk", "n"))
+    lost = child.select("fk", "n").subtract(nothing)
+    checks = [
+        dq.unique("p", parent, "pid"),
+        dq.unique("p", parent, "code"),
+        dq.relationships("c", child, "fk", parent, "pid"),
+        dq.relationships("c", child, "n", parent, "pid"),
+        dq.relationships("e", nothing, "fk", parent, "pid"),
+        dq.relationships("x", child, "fk", nothing, "fk"),
+        dq.unique("c", child, "fk"),
+        dq.unique_combination("c", child, ("fk", "n")),
+        dq.unique_combination("e", nothing, ("fk", "n")),
+        dq.not_null("c", child, "fk"),
+        dq.accepted_range("c", child, "n", 2),
+        dq.Check("lost", lost, child=pairs, parent=dq.Keys(nothing, ("fk", "n")), distinct=True),
+        dq.Check("kept", child.limit(0), child=pairs, parent=pairs, distinct=True),
+        dq.Check("alone", parent.filter("pid > 1")),
+    ]
+    told = {r["check"]: r["failures"] for r in dq.summary(checks).collect()}
+    assert told == {c.name: c.failing().count() for c in checks}
+    assert told["lost"] == 5 and told["relationships:c.fk"] == 2 and told["unique_combination:c:fk+n"] == 2
+
+
+def test_suites_find_what_single_checks_find(shop):
+    _, stg, orders, items = shop
+    tables = {"fct_order_items": items, "fct_orders": orders}
+    checks = [
+        quality.every_item_reaches_the_fact(stg["order_items"], items.filter("order_id <> 'o1'")),
+        quality.payments_cover_the_order(orders),
+        quality.revenue_only_from_delivered(items.withColumn("revenue", items.price)),
+        quality.revenue_reconciles(items.filter("order_id <> 'o1'"), orders),
+        *[dq.not_null(t, df, c) for t, df in tables.items() for c in df.columns],
+    ]
+    told = {r["check"]: r["failures"] for r in dq.summary(checks).collect()}
+    assert told == {c.name: c.failing().count() for c in checks}
