@@ -19,7 +19,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from shopmart.session import materialize
 
@@ -124,30 +130,119 @@ def _after(row: Sequence[Column], cut: Sequence[Column], ascending: Sequence[boo
     return result
 
 
-def tile_cuts(
-    df: DataFrame, tiles: int, order: Sequence[tuple[str, bool]], label: str = "cuts"
-) -> DataFrame:
-    """One row, ``cuts``: the last row of every bucket of ``ntile(tiles)`` over ``df``.
+Order = Sequence[tuple[str, bool]]
 
-    ``order`` lists (column, ascending); the columns must be filled and end with
-    a unique one.  Only those columns are sorted.  A bucket number is then a
-    comparison with at most ``tiles - 1`` values, so the full rows are neither
-    shuffled nor joined.
+#: Ranks of the sketch are off by at most one in so many rows.
+_ACCURACY = 10_000
+#: So many rows are ranked in one task; more are sorted over many.
+_FEW = 100_000
+
+
+def _along(df: DataFrame, name: str, ascending: bool) -> Column:
+    """A DOUBLE that never falls along the order; different values may share one."""
+    kind, column = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, StringType):
+        # The first six bytes, which a DOUBLE holds exactly.
+        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6)), 12, "0")
+        number = F.conv(head, 16, 10).cast("double")
+    elif isinstance(kind, DateType):
+        number = F.unix_date(column).cast("double")
+    elif isinstance(kind, TimestampType):
+        number = F.unix_micros(column).cast("double")
+    elif isinstance(kind, TimestampNTZType):
+        # Whole seconds without going through a time zone.
+        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+        number = F.unix_date(F.to_date(column)).cast("double") * 86_400 + seconds
+    else:
+        number = column.cast("double")
+    return number if ascending else -number
+
+
+def _intervals(quantiles: Sequence[float]) -> list[tuple[float, float]]:
+    """The brackets (low, high, low, high, ...) as disjoint intervals in order."""
+    merged: list[tuple[float, float]] = []
+    for low, high in sorted(zip(quantiles[::2], quantiles[1::2])):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def _inside(along: Column, low: float, high: float) -> Column:
+    return along.between(F.lit(low), F.lit(high))
+
+
+def tile_cuts_of(df: DataFrame, tiles: int, orders: dict[str, Order]) -> dict[str, DataFrame]:
+    """:func:`tile_cuts` for several orders of the same rows, by label.
+
+    The rows are not sorted. A sketch of each order's leading column brackets the cuts, one
+    more pass counts the rows before and within each bracket exactly, and only the
+    rows within are ranked. If a cut were not in its bracket, all rows would be.
     """
+    # Lowest and highest share of the rows at which a cut can lie, as far as the sketch tells.
+    slack = 3 / _ACCURACY
+    shares = [min(1.0, max(0.0, k / tiles + d)) for k in range(1, tiles) for d in (-slack, slack)]
+    along = {label: _along(df, *order[0]) for label, order in orders.items()}
+    sketches = [F.percentile_approx(a, shares, _ACCURACY).alias(label) for label, a in along.items()]
+    sketch = df.agg(F.count("*").alias("__rows"), *sketches).first()
+    rows, ends = sketch["__rows"], _tile_ends(sketch["__rows"], tiles)
+    if not ends:
+        return {label: _rows_at(df.limit(0), order, [], 0, label) for label, order in orders.items()}
+    brackets = {label: _intervals(sketch[label]) for label in orders}
+    counts = [
+        count
+        for label, a in along.items()
+        for low, high in brackets[label]
+        for count in (F.count_if(a < low), F.count_if(_inside(a, low, high)))
+    ]
+    counted = iter(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first())
+    cuts = {}
+    for label, order in orders.items():
+        within, wanted, held = F.lit(False), [], 0
+        for low, high in brackets[label]:
+            before, inside = next(counted), next(counted)
+            within |= _inside(along[label], low, high)
+            wanted += [held + end - before for end in ends if before <= end < before + inside]
+            held += inside
+        if len(wanted) < len(ends):
+            within, wanted, held = F.lit(True), ends, rows
+        cuts[label] = _rows_at(df.filter(within), order, wanted, held, label)
+    return cuts
+
+
+def _rows_at(df: DataFrame, order: Order, positions: Sequence[int], rows: int, label: str) -> DataFrame:
+    """One row, ``cuts``: those at the given places (from 0) along the order."""
     names = [name for name, _ in order]
     keys = [F.col(name).asc() if up else F.col(name).desc() for name, up in order]
-    rows = _sorted_rows(df.select(*names), keys, label)
-    # One row per range partition.
-    sizes = {r[_PARTITION]: r["count"] for r in rows.groupBy(_PARTITION).count().collect()}
-    wanted, start = F.lit(False), 0
-    ends = _tile_ends(sum(sizes.values()), tiles)
-    for partition in sorted(sizes):
-        local = [e - start for e in ends if start <= e < start + sizes[partition]]
-        start += sizes[partition]
-        if local:
-            wanted = wanted | ((F.col(_PARTITION) == partition) & F.col(_LOCAL).isin(local))
+    df = df.select(*names)
+    if rows <= _FEW:
+        place = F.row_number().over(Window.orderBy(*keys)) - 1
+        found = df.withColumn("__place", place).filter(F.col("__place").isin(*positions))
+    else:
+        sorted_rows = _sorted_rows(df, keys, label)
+        # One row per range partition.
+        sizes = {r[_PARTITION]: r["count"] for r in sorted_rows.groupBy(_PARTITION).count().collect()}
+        wanted, start = F.lit(False), 0
+        for partition in sorted(sizes):
+            local = [p - start for p in positions if start <= p < start + sizes[partition]]
+            start += sizes[partition]
+            if local:
+                wanted = wanted | ((F.col(_PARTITION) == partition) & F.col(_LOCAL).isin(local))
+        found = sorted_rows.filter(wanted)
     # At most tiles - 1 rows.
-    return rows.filter(wanted).agg(F.collect_list(F.struct(*names)).alias("cuts"))
+    return found.agg(F.collect_list(F.struct(*names)).alias("cuts"))
+
+
+def tile_cuts(df: DataFrame, tiles: int, order: Order, label: str = "cuts") -> DataFrame:
+    """One row, ``cuts``: the last row of every bucket of ``ntile(tiles)`` over ``df``.
+
+    ``order`` lists (column, ascending); the columns must be filled and end with
+    a unique one.  A bucket number is then a comparison with at most ``tiles - 1``
+    values, so the full rows are neither sorted, shuffled nor joined. ``df`` is read
+    three times; hand in a written table where it is expensive.
+    """
+    return tile_cuts_of(df, tiles, {label: order})[label]
 
 
 def tile_number(order: Sequence[tuple[str, bool]], cuts: Column) -> Column:
@@ -163,7 +258,7 @@ def global_ntile(
 ) -> DataFrame:
     """``ntile(tiles) over (order by order)`` as column ``name``.
 
-    ``df`` is read twice; hand in a written table where it is expensive.
+    ``df`` is read four times; hand in a written table where it is expensive.
     """
     cuts = tile_cuts(df, tiles, order, label=name).withColumnRenamed("cuts", "__cuts")
     tiled = df.crossJoin(F.broadcast(cuts))

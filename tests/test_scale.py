@@ -102,3 +102,48 @@ def test_plan_moves_no_table_to_a_single_task(skewed):
     before_join = plan.split("BroadcastExchange")[0]
     assert "SinglePartition" not in before_join
     assert "Window" not in before_join
+
+
+@pytest.fixture(scope="module")
+def uneven(spark):
+    """Leading values of several types, a third of the rows sharing one; ids make the order total."""
+    return spark.range(20_000).selectExpr(
+        "id",
+        "case when id % 3 = 0 then 0.05 else cast(pmod(hash(id), 9973) as decimal(14,2)) / 7 end as money",
+        "case when id % 3 = 0 then 'éclair' else md5(cast(id % 5000 as string)) end as text",
+        "case when id % 3 = 0 then null else date_add(date'2000-01-01', cast(pmod(hash(id), 3000) as int)) end as day",
+        "timestamp_ntz'2017-01-01 00:00:00' + make_dt_interval(0, 0, 0, pmod(hash(id), 7001)) as moment",
+        "-pmod(hash(id), 3) as few",
+    )
+
+
+@pytest.mark.parametrize("few", [10**6, 50])
+@pytest.mark.parametrize("column, up", [("money", True), ("money", False), ("text", True), ("text", False), ("moment", False), ("few", True)])
+def test_cuts_by_sketch_are_the_exact_ones(uneven, monkeypatch, few, column, up):
+    """However many rows lie in the brackets, and however they are ranked."""
+    monkeypatch.setattr(scale, "_FEW", few)
+    by = F.col(column).asc() if up else F.col(column).desc()
+    mine = scale.global_ntile(uneven, 7, ((column, up), ("id", True)), "tile").select("id", "tile")
+    theirs = uneven.select("id", F.ntile(7).over(Window.orderBy(by, "id")).alias("tile"))
+    assert mine.exceptAll(theirs).count() == 0 and mine.count() == 20_000
+
+
+def test_a_bracket_that_misses_its_cut_is_noticed(uneven, monkeypatch):
+    monkeypatch.setattr(scale, "_intervals", lambda quantiles: [(5.0, 5.0)])
+    mine = scale.global_ntile(uneven, 4, (("money", True), ("id", True)), "tile").select("id", "tile")
+    theirs = uneven.select("id", F.ntile(4).over(Window.orderBy("money", "id")).alias("tile"))
+    assert mine.exceptAll(theirs).count() == 0
+
+
+def test_cuts_sort_only_what_lies_in_the_brackets(spark, uneven, monkeypatch):
+    """A small part of the rows is ranked, and no written copy is made."""
+    ranked = []
+    rows_at = scale._rows_at
+    monkeypatch.setattr(scale, "_rows_at", lambda df, *rest: ranked.append(rest[2]) or rows_at(df, *rest))
+    monkeypatch.setattr(scale, "materialize", None)
+    spread = spark.range(100_000).selectExpr("id", "cast(pmod(hash(id), 1000003) as double) as value")
+    cuts = scale.tile_cuts_of(spread, 5, {"a": (("value", True), ("id", True)), "b": (("value", False), ("id", True))})
+    assert len(cuts["a"].first().cuts) == 4 and len(cuts["b"].first().cuts) == 4
+    assert all(rows < 2000 for rows in ranked) and len(ranked) == 2
+    plan = cuts["a"]._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
