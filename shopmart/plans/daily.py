@@ -18,15 +18,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmart.operators import checks, snapshot, upsert
-from shopmart.operators.published import extend_history, merge_parts
+from shopmart.operators.published import extend_history, merge_parts, write_indexed
 from shopmart.plans import intermediate, marts, quality
 from shopmart.plans.analyses import findings
 from shopmart.plans.staging import stage
-from shopmart.session import materialize
+from shopmart.session import materialize, scratch
 from shopmart.sources.contracts import RAW_COLUMNS, SourceFiles
 from shopmart.sources.export import export_csv
 from shopmart.sources.landing import load_raw
-from shopmart.sources.publish import Publisher
+from shopmart.sources.publish import Location, Publisher
 
 MARTS = (
     "fct_order_items",
@@ -49,6 +49,8 @@ class Warehouse:
     files: SourceFiles = field(default_factory=SourceFiles)
     lookback_days: int = upsert.LOOKBACK_DAYS
     calendar: tuple[date, date] = (marts.CALENDAR_START, marts.CALENDAR_END)
+    #: Versions of each layer that stay readable; None keeps all.
+    retain: int | None = None
 
     def layer(self, name: str) -> Publisher:
         return Publisher(self.spark, f"{self.root.rstrip('/')}/{name}")
@@ -99,10 +101,10 @@ def take_snapshot(warehouse: Warehouse, raw_orders: DataFrame, as_of: str) -> No
     """Record status changes of the raw orders as of this run."""
     layer = warehouse.layer("snapshots")
     version = layer.next_version()
-    folders = extend_history(
+    tables = extend_history(
         layer, HISTORY, raw_orders, "order_id", snapshot.ORDER_STATUS_CHECKS, as_of, version
     )
-    layer.commit(version, {HISTORY: folders})
+    layer.commit(version, tables)
 
 
 def build_intermediate(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -132,15 +134,15 @@ def load_items(
     orders: DataFrame,
     version: int,
     days: int | None = upsert.LOOKBACK_DAYS,
-) -> dict[str, str]:
-    """Load the item fact; returns the folder of every month.
+) -> dict[str, Location]:
+    """Load the item fact; returns the folders of its months and of its index of keys.
 
     Without a published fact, or with ``days=None``, it is rebuilt from
     scratch; otherwise the look-back batch is deleted and inserted by key.
     """
     if days is None or not layer.exists(ITEMS):
         fact = marts.fct_order_items(items, orders)
-        return layer.write_parts(fact, ITEMS, version, purchase_month())
+        return write_indexed(layer, ITEMS, fact, ITEM_KEY, purchase_month(), version)
     recent = upsert.look_back(orders, layer.read(ITEMS), "purchased_at", days)
     batch = marts.fct_order_items(items, recent)
     return merge_parts(layer, ITEMS, batch, ITEM_KEY, purchase_month(), version)
@@ -157,7 +159,7 @@ def build_marts(
     version = layer.next_version()
     orders = models["orders_enriched"]
     days = None if full_refresh else warehouse.lookback_days
-    locations = {ITEMS: load_items(layer, stg["order_items"], orders, version, days)}
+    locations = load_items(layer, stg["order_items"], orders, version, days)
     spine = marts.days(warehouse.spark, *warehouse.calendar)
     built = {
         "fct_orders": marts.fct_orders(orders),
@@ -174,7 +176,7 @@ def build_marts(
     }
     for name, df in built.items():
         locations[name] = layer.write(df, name, version)
-    written = {name: layer.read_at(location) for name, location in locations.items()}
+    written = {name: layer.read_at(locations[name]) for name in MARTS}
     checks.enforce(quality.mart_checks(written, stg["order_items"]))
     layer.commit(version, locations)
     return {name: layer.read(name) for name in MARTS}
@@ -188,13 +190,17 @@ def run_daily(
     export_to: str | None = None,
 ) -> dict[str, DataFrame]:
     """One run over the files in ``landing``; ``as_of`` dates new order versions."""
-    raw = load_raw(warehouse.spark, landing, warehouse.layer("raw"), warehouse.files)
-    stg = stage(raw)
-    checks.enforce(quality.staging_checks({**stg, **seeds(warehouse)}))
-    take_snapshot(warehouse, raw["orders"], as_of)
-    models = build_intermediate(stg)
-    checks.enforce(quality.intermediate_checks(models))
-    published = build_marts(warehouse, stg, models, full_refresh)
-    if export_to:
-        export_csv(published, export_to)
+    with scratch(warehouse.spark):
+        raw = load_raw(warehouse.spark, landing, warehouse.layer("raw"), warehouse.files)
+        stg = stage(raw)
+        checks.enforce(quality.staging_checks({**stg, **seeds(warehouse)}))
+        take_snapshot(warehouse, raw["orders"], as_of)
+        models = build_intermediate(stg)
+        checks.enforce(quality.intermediate_checks(models))
+        published = build_marts(warehouse, stg, models, full_refresh)
+        if export_to:
+            export_csv(published, export_to)
+    if warehouse.retain:
+        for name in ("raw", "snapshots", "marts"):
+            warehouse.layer(name).expire(warehouse.retain)
     return published

@@ -7,7 +7,6 @@ results keep their natural types until :func:`comparable`.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping
 from datetime import date
 from functools import cached_property, reduce
@@ -29,11 +28,12 @@ from shopmart.functions.text import clean_city_name
 from shopmart.operators import checks as dq
 from shopmart.operators import digest, sampling, snapshot, upsert
 from shopmart.plans import analyses, daily, dashboard, intermediate, marts, quality, staging
-from shopmart.session import checkpoint_dir, materialize
+from shopmart.session import materialize, scratch_folder
 from shopmart.sources import landing, standin
 from shopmart.sources.contracts import RAW_COLUMNS, SourceFiles
 from shopmart.sources.export import export_csv, read_exported
 from shopmart.sources.publish import Publisher
+from shopmart.streaming import changes
 
 STATES = ("NATION_1", "NATION_2", "NATION_3")
 MONTHLY_FROM, MONTHLY_TO = date(1996, 1, 1), date(1997, 8, 31)
@@ -155,10 +155,6 @@ def load_audit(m: Models) -> DataFrame:
     )
 
 
-def _scratch(m: Models, label: str) -> str:
-    return f"{checkpoint_dir(m.spark)}/shopmart/{label}-{uuid.uuid4().hex}"
-
-
 def _told(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``table_name, row_count, digest`` of the comparable content of each table."""
     told = [
@@ -175,7 +171,7 @@ def landing_round_trip(m: Models) -> DataFrame:
     ``audited_rows`` is what the audit of the load says, ``row_count`` and
     ``digest`` are taken from the staged tables read back.
     """
-    folder = _scratch(m, "landing")
+    folder = scratch_folder(m.spark, "landing")
     export_csv({t: standin.as_text(m.raw[t]) for t in RAW_COLUMNS}, f"{folder}/files")
     publisher = Publisher(m.spark, f"{folder}/raw")
     raw = landing.load_raw(m.spark, f"{folder}/files", publisher, SourceFiles("{table}"))
@@ -198,7 +194,7 @@ def export_round_trip(m: Models) -> DataFrame:
         "dim_sellers": _rounded_coordinates(marts.dim_sellers(m.stg["sellers"], m.locations)),
         "dim_date": m.dim_date,
     }
-    folder = _scratch(m, "export")
+    folder = scratch_folder(m.spark, "export")
     exported = export_csv(built, folder)
     back = {name: read_exported(m.spark, folder, name, df.schema) for name, df in built.items()}
     counted = F.create_map(*[F.lit(x) for name, rows in exported.items() for x in (name, rows)])
@@ -512,6 +508,18 @@ def incremental_upsert(m: Models) -> DataFrame:
     return upsert.delete_insert(target, _batch(m, target), "order_item_sk")
 
 
+@query
+def incremental_upsert_published(m: Models) -> DataFrame:
+    """The item fact as published by months, after the look-back batch of the second load."""
+    publisher = Publisher(m.spark, scratch_folder(m.spark, "upsert"))
+    first = _first_load(m)
+    for models in (first, m):
+        orders, items = models.enriched(), models.stg["order_items"]
+        version = publisher.next_version()
+        publisher.commit(version, daily.load_items(publisher, items, orders, version))
+    return publisher.read(daily.ITEMS)
+
+
 @query
 def incremental_upsert_new_column(m: Models) -> DataFrame:
     target = _first_load(m).fct_order_items
@@ -550,22 +558,29 @@ def scd2_as_of(m: Models) -> DataFrame:
     return valid.select("order_id", "order_status", snapshot.VALID_FROM)
 
 
-@query
-def scd2_change_feed(m: Models) -> DataFrame:
-    """Status changes at their own times, in two batches of which a month arrives twice."""
-    steps = {
-        "created": "purchased_at",
-        "approved": "approved_at",
-        "shipped": "delivered_to_carrier_at",
-        "delivered": "delivered_to_customer_at",
-    }
+STEPS = {
+    "created": "purchased_at",
+    "approved": "approved_at",
+    "shipped": "delivered_to_carrier_at",
+    "delivered": "delivered_to_customer_at",
+}
+
+
+def _status_feed(m: Models) -> DataFrame:
+    """Status changes at their own times."""
     events = F.array(
         *[
             F.struct(F.lit(status).alias("order_status"), F.col(c).alias("changed_at"))
-            for status, c in steps.items()
+            for status, c in STEPS.items()
         ]
     )
-    feed = m.stg["orders"].select("order_id", F.inline(events))
+    return m.stg["orders"].select("order_id", F.inline(events))
+
+
+@query
+def scd2_change_feed(m: Models) -> DataFrame:
+    """Status changes at their own times, in two batches of which a month arrives twice."""
+    feed = _status_feed(m)
     seen = None
     for batch in (f"changed_at < '{FEED_UNTIL}'", f"changed_at >= '{FEED_AGAIN_FROM}'"):
         seen = snapshot.apply_changes(
@@ -574,6 +589,50 @@ def scd2_change_feed(m: Models) -> DataFrame:
     return seen.select("order_id", "order_status", snapshot.VALID_FROM, snapshot.VALID_TO)
 
 
+def _streamed(m: Models, sink_of: Callable[[Publisher], changes.Sink], table: str) -> DataFrame:
+    """A table after the status feed has arrived as files in three parts, each processed by a
+    stream when it arrives and then delivered to the sink once more.
+    """
+    folder = scratch_folder(m.spark, "stream")
+    publisher = Publisher(m.spark, f"{folder}/published")
+    sink = sink_of(publisher)
+    feed = _status_feed(m).filter("changed_at is not null")
+    arrivals = (
+        f"changed_at < '{FEED_AGAIN_FROM}'",
+        f"changed_at >= '{FEED_AGAIN_FROM}' and changed_at < '{FEED_UNTIL}'",
+        f"changed_at >= '{FEED_UNTIL}'",
+    )
+    for batch_id, arrival in enumerate(arrivals):
+        feed.filter(arrival).write.mode("append").parquet(f"{folder}/feed")
+        files = m.spark.readStream.schema(feed.schema).parquet(f"{folder}/feed")
+        changes.run_available(files, sink, f"{folder}/progress")
+        sink(feed.filter(arrival), batch_id)
+    return publisher.read(table)
+
+
+@query
+def stream_upsert_replayed(m: Models) -> DataFrame:
+    """The newest status of each order, kept by a stream."""
+    steps = F.array_position(F.array(*map(F.lit, STEPS)), F.col("order_status"))
+    month = F.date_format("changed_at", "yyyy-MM")
+    return _streamed(
+        m,
+        lambda p: changes.upsert_sink(p, "newest", "order_id", [F.col("changed_at"), steps], month),
+        "newest",
+    )
+
+
+@query
+def stream_history_replayed(m: Models) -> DataFrame:
+    """The status history of each order, kept by a stream."""
+    kept = _streamed(
+        m,
+        lambda p: changes.history_sink(p, "history", "order_id", ("order_status",), "changed_at"),
+        "history",
+    )
+    return kept.select("order_id", "order_status", snapshot.VALID_FROM, snapshot.VALID_TO)
+
+
 # --- data quality -------------------------------------------------------------
 
 

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopmart.sources.files import Folder
+
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -63,13 +68,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+#: Folders written since each scratch began, the innermost last; a scratch of each thread's own.
+_scratches: ContextVar[tuple[list[str], ...]] = ContextVar("scratches", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what :func:`materialize` writes in between.
+
+    For runs whose results are stored elsewhere: a DataFrame that still reads
+    what was written must not be used afterwards.
+    """
+    written: list[str] = []
+    token = _scratches.set((*_scratches.get(), written))
+    try:
+        yield
+    finally:
+        _scratches.reset(token)
+        for path in written:
+            Folder(spark, path).remove()
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """The address of a new folder below the shared one."""
+    path = f"{checkpoint_dir(spark)}/shopmart/{label}-{uuid.uuid4().hex}"
+    for written in _scratches.get()[-1:]:
+        written.append(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Unlike caching this survives the loss of executors, computes ``df`` once,
     and lets later readers prune columns.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/shopmart/{label}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

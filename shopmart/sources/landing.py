@@ -314,7 +314,7 @@ def load_raw(
         )
         .withColumn("loaded_at", F.current_timestamp())
     )
-    locations["load_audit"] = publisher.write(audit.coalesce(1), "load_audit", version)
+    locations["load_audit"] = publisher.append(audit.coalesce(1), "load_audit", version)
     publisher.commit(version, locations)
     return {table: publisher.read(table) for table in RAW_COLUMNS}
 

@@ -114,7 +114,7 @@ def test_reload_replaces_tables_and_audits_every_file(spark, tmp_path):
     first = {t: df.count() for t, df in landing.load_raw(spark, str(folder), publisher).items()}
     again = {t: df.count() for t, df in landing.load_raw(spark, str(folder), publisher).items()}
     assert first == again
-    audit = publisher.history("load_audit").collect()
+    audit = publisher.read("load_audit").collect()
     assert len(audit) == 2 * len(RAW_COLUMNS)
     for row in audit:
         content = (folder / row.file_name).read_bytes()
@@ -133,7 +133,7 @@ def test_failed_load_leaves_the_previous_one(spark, tmp_path):
     with pytest.raises(Exception, match="MALFORMED|malformed"):
         landing.load_raw(spark, str(folder), publisher)
     assert publisher.read("orders").count() == len(RAW["orders"])
-    assert publisher.history("load_audit").count() == len(RAW_COLUMNS)
+    assert publisher.read("load_audit").count() == len(RAW_COLUMNS)
 
 
 def test_changed_header_stops_the_load(spark, tmp_path):
@@ -176,7 +176,7 @@ def test_a_table_may_be_a_folder_of_files(spark, tmp_path):
     publisher = Publisher(spark, str(tmp_path / "raw"))
     raw = landing.load_raw(spark, str(folder), publisher)
     assert raw["orders"].count() == len(RAW["orders"])
-    audit = {r.file_name: r.row_count for r in publisher.history("load_audit").collect()}
+    audit = {r.file_name: r.row_count for r in publisher.read("load_audit").collect()}
     assert audit["part-0.csv"] == 2 and audit["part-1.csv"] == len(RAW["orders"]) - 2
     assert len(audit) == len(RAW_COLUMNS) + 1
 
