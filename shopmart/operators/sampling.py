@@ -10,9 +10,33 @@ from pyspark.sql import functions as F
 POINTS_PER_PREFIX = 3
 
 
+#: Rows are counted by so many first digits of their hash: 65,536 classes.
+HASH_DIGITS = 4
+
+
 def sample_orders(orders: DataFrame, count: int = 500) -> DataFrame:
-    """The ``count`` orders with the lowest hash of their id: stable across runs."""
-    return orders.orderBy(F.md5(F.col("order_id").cast("string"))).limit(count)
+    """The ``count`` orders with the lowest hash of their id: stable across runs.
+
+    The classes of first digits that lie wholly in the sample are kept by a filter; only
+    the class the bound falls into, one in 65,536, is ranked. So a sample may be any share of the orders without
+    meeting in one task.
+    """
+    hashed = orders.withColumn("__hash", F.md5(F.col("order_id").cast("string")))
+    digits = F.substring("__hash", 1, HASH_DIGITS)
+    classes = hashed.groupBy(digits.alias("__class")).agg(F.count("*").alias("__rows"))
+    upto = Window.orderBy("__class").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = classes.withColumn("__upto", F.sum("__rows").over(upto))
+    # One row: the first class with which the sample is full, and how many of it belong to it.
+    bound = reached.filter(F.col("__upto") >= count).agg(
+        F.min_by(F.struct("__class", "__upto", "__rows"), "__class").alias("__last")
+    )
+    placed = hashed.crossJoin(F.broadcast(bound)).withColumn("__class", digits)
+    last = F.col("__last.__class")
+    whole = placed.filter(last.isNull() | (F.col("__class") < last))
+    place = F.row_number().over(Window.partitionBy("__class").orderBy("__hash", "order_id"))
+    left = count - (F.col("__last.__upto") - F.col("__last.__rows"))
+    part = placed.filter(F.col("__class") == last).withColumn("__place", place).filter(F.col("__place") <= left)
+    return whole.select(*orders.columns).unionByName(part.select(*orders.columns))
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[Column], count: int) -> DataFrame:

@@ -27,6 +27,7 @@ from shopmart.sources.contracts import RAW_COLUMNS, SourceFiles
 from shopmart.sources.export import export_csv
 from shopmart.sources.landing import load_raw
 from shopmart.sources.publish import Location, Publisher
+from shopmart.sources.seeds import read_seeds
 
 MARTS = (
     "fct_order_items",
@@ -49,6 +50,8 @@ class Warehouse:
     files: SourceFiles = field(default_factory=SourceFiles)
     lookback_days: int = upsert.LOOKBACK_DAYS
     calendar: tuple[date, date] = (marts.CALENDAR_START, marts.CALENDAR_END)
+    #: Files of the user's own holidays and category names, by seed.
+    seed_files: Mapping[str, str] = field(default_factory=dict)
     #: Versions of each layer that stay readable; None keeps all.
     retain: int | None = None
 
@@ -61,16 +64,20 @@ class Warehouse:
     def register_views(self) -> None:
         """Make the newest published tables available to ``spark.sql``.
 
-        Raw tables become ``raw_*``, their staging models ``stg_*`` views over
-        them; marts go by their own names.
+        Raw tables become ``raw_*``; the staging and intermediate models are views
+        over them, ``stg_*`` and ``int_*``, and write nothing; seeds are ``seed_*``; marts and the
+        order history go by their own names.
         """
         raw = {table: self.layer("raw").read(table) for table in RAW_COLUMNS}
-        for table, df in raw.items():
-            df.createOrReplaceTempView(f"raw_{table}")
-        for table, df in stage(raw).items():
-            df.createOrReplaceTempView(f"stg_{table}")
-        for name in MARTS:
-            self.mart(name).createOrReplaceTempView(name)
+        stg = stage(raw)
+        views = {f"raw_{name}": df for name, df in raw.items()}
+        views |= {f"stg_{name}": df for name, df in stg.items()}
+        views |= {f"int_{name}": df for name, df in intermediate_views(stg).items()}
+        views |= {f"seed_{name}": df for name, df in seeds(self).items()}
+        views |= {name: self.mart(name) for name in MARTS}
+        views[HISTORY] = self.layer("snapshots").read(HISTORY)
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
 
 
 def write_findings(warehouse: Warehouse) -> dict[str, DataFrame]:
@@ -88,12 +95,35 @@ def purchase_month() -> Column:
 
 
 def seeds(warehouse: Warehouse) -> dict[str, DataFrame]:
-    days = marts.dim_date(marts.days(warehouse.spark, *warehouse.calendar))
-    return {
-        "national_holidays": days.filter("is_br_holiday").select(
+    """The user's seed files; the rules of the library for those that are not given."""
+    given = read_seeds(warehouse.spark, warehouse.seed_files)
+    if "national_holidays" not in given:
+        days = marts.dim_date(marts.days(warehouse.spark, *warehouse.calendar))
+        given["national_holidays"] = days.filter("is_br_holiday").select(
             F.col("date_day").alias("holiday_date"), "holiday_name"
-        ),
-        "category_overrides": marts.category_overrides(warehouse.spark),
+        )
+    if "category_overrides" not in given:
+        given["category_overrides"] = marts.category_overrides(warehouse.spark)
+    return given
+
+
+def intermediate_views(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The intermediate models as queries over the staged tables; nothing is written."""
+    orders = intermediate.orders_enriched(
+        stg["orders"],
+        stg["customers"],
+        stg["order_items"],
+        stg["order_payments"],
+        stg["order_reviews"],
+        intermediate.ADDRESS,
+    )
+    return {
+        "items_per_order": intermediate.items_per_order(stg["order_items"]),
+        "payments_per_order": intermediate.payments_per_order(stg["order_payments"]),
+        "reviews_per_order": intermediate.reviews_per_order(stg["order_reviews"]),
+        "orders_enriched": orders,
+        "customer_orders": intermediate.customer_orders(orders),
+        "zip_code_locations": intermediate.zip_code_locations(stg["geolocation"]),
     }
 
 
@@ -161,6 +191,7 @@ def build_marts(
     days = None if full_refresh else warehouse.lookback_days
     locations = load_items(layer, stg["order_items"], orders, version, days)
     spine = marts.days(warehouse.spark, *warehouse.calendar)
+    own = seeds(warehouse)
     built = {
         "fct_orders": marts.fct_orders(orders),
         "dim_customers": marts.dim_customers(
@@ -169,10 +200,10 @@ def build_marts(
         "dim_products": marts.dim_products(
             stg["products"],
             stg["product_category_name_translation"],
-            marts.category_overrides(warehouse.spark),
+            own["category_overrides"],
         ),
         "dim_sellers": marts.dim_sellers(stg["sellers"], models["zip_code_locations"]),
-        "dim_date": marts.dim_date(spine),
+        "dim_date": marts.dim_date(spine, own["national_holidays"]),
     }
     for name, df in built.items():
         locations[name] = layer.write(df, name, version)

@@ -62,6 +62,37 @@ def revenue_drill_category(
     return _drill(with_category(fct_order_items, dim_products), "category", state, month)
 
 
+def drill_quality(
+    fct_order_items: DataFrame,
+    dim_products: DataFrame,
+    fct_orders: DataFrame,
+    state: str,
+    month: date,
+) -> DataFrame:
+    """Orders, late rate and mean review score of a drilled state and month, by category.
+
+    An order counts once in each category it has items of. Items are reduced to
+    orders before they meet the reviews.
+    """
+    selected = fct_order_items.filter(
+        (F.col("customer_state") == state)
+        & (F.col("purchase_date") >= F.lit(month))
+        & (F.col("purchase_date") < F.add_months(F.lit(month), 1))
+    )
+    orders = with_category(selected, dim_products).select("category", "order_id").distinct()
+    told = fct_orders.select("order_id", "is_late", "review_score")
+    return (
+        orders.join(told, "order_id")
+        .groupBy("category")
+        .agg(
+            F.count("*").alias("orders"),
+            true_percent(F.col("is_late"), 1).alias("late_rate_pct"),
+            mean(F.col("review_score"), 2).alias("avg_review_score"),
+        )
+        .orderBy(F.col("orders").desc(), F.col("category").asc_nulls_last())
+    )
+
+
 def revenue_drill_top_sellers(
     fct_order_items: DataFrame,
     state: str,

@@ -27,12 +27,14 @@ from pyspark.sql.types import (
 from shopmart.functions.text import clean_city_name
 from shopmart.operators import checks as dq
 from shopmart.operators import digest, sampling, snapshot, upsert
+from shopmart.operators.asof import as_of_join
 from shopmart.plans import analyses, daily, dashboard, intermediate, marts, quality, staging
 from shopmart.session import materialize, scratch_folder
 from shopmart.sources import landing, standin
 from shopmart.sources.contracts import RAW_COLUMNS, SourceFiles
 from shopmart.sources.export import export_csv, read_exported
 from shopmart.sources.publish import Publisher
+from shopmart.sources.seeds import read_seeds
 from shopmart.streaming import changes
 
 STATES = ("NATION_1", "NATION_2", "NATION_3")
@@ -436,6 +438,13 @@ def revenue_drill_category(m: Models) -> DataFrame:
     )
 
 
+@query
+def drill_quality(m: Models) -> DataFrame:
+    return dashboard.drill_quality(
+        m.fct_order_items, m.dim_products, m.fct_orders(reviews=True), DRILL_STATE, DRILL_MONTH
+    )
+
+
 @query
 def revenue_drill_top_sellers(m: Models) -> DataFrame:
     return dashboard.revenue_drill_top_sellers(m.fct_order_items, DRILL_STATE, DRILL_MONTH)
@@ -577,6 +586,53 @@ def _status_feed(m: Models) -> DataFrame:
     return m.stg["orders"].select("order_id", F.inline(events))
 
 
+@query
+def scd2_as_of_events(m: Models) -> DataFrame:
+    """Each item with the status its order had when the item was due to be shipped."""
+    history = snapshot.apply_changes(None, _status_feed(m), "order_id", ("order_status",), "changed_at")
+    due = m.stg["order_items"].select("order_id", "order_item_id", "shipping_limit_at")
+    return as_of_join(due, history, "order_id", "shipping_limit_at", ["order_status"])
+
+
+@query
+def consistent_sample_third(m: Models) -> DataFrame:
+    """A third of the orders, by the lowest hash."""
+    orders = m.raw["orders"]
+    sampled = sampling.sample_orders(orders, orders.count() // 3)
+    return sampled.select("order_id", "order_status")
+
+
+def _own_seeds(m: Models) -> dict[str, DataFrame]:
+    """Seed files written from the tables and read under their contract: the first order day of each
+    year is a holiday, and each category goes by its name reversed.
+    """
+    folder = scratch_folder(m.spark, "seeds")
+    day = F.to_date("purchased_at")
+    holidays = m.stg["orders"].groupBy(F.year("purchased_at").alias("y")).agg(F.min(day).alias("holiday_date"))
+    names = m.stg["products"].select("category_name").filter("category_name is not null").distinct()
+    files = {
+        "national_holidays": holidays.select(F.concat(F.lit('First "order", '), "y").alias("holiday_name"), "holiday_date"),
+        "category_overrides": names.select("category_name", F.reverse("category_name").alias("category_name_en")),
+    }
+    export_csv(files, folder)
+    return read_seeds(m.spark, {name: f"{folder}/{name}" for name in files})
+
+
+@query
+def dim_date_own_holidays(m: Models) -> DataFrame:
+    dates = marts.dim_date(m.dim_date.select("date_day"), _own_seeds(m)["national_holidays"])
+    return dates.select("date_day", "holiday_name", "is_br_holiday")
+
+
+@query
+def dim_products_own_names(m: Models) -> DataFrame:
+    """Products named by the user's overrides alone."""
+    products, overrides = m.stg["products"], _own_seeds(m)["category_overrides"]
+    translations = m.stg["product_category_name_translation"].limit(0)
+    named = marts.dim_products(products, translations, overrides)
+    return named.select("product_id", "category_name", "category_name_en")
+
+
 @query
 def scd2_change_feed(m: Models) -> DataFrame:
     """Status changes at their own times, in two batches of which a month arrives twice."""

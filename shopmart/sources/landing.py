@@ -228,11 +228,11 @@ def _scan(spark: SparkSession, paths: list[str], header: list[str], has_breaks:
         .option("multiLine", str(has_breaks).lower())
         .option("escape", '"')
         .option("emptyValue", _QUOTED_EMPTY)
-        .csv([_as_pattern(path) for path in paths])
+        .csv([as_pattern(path) for path in paths])
     )
 
 
-def _as_pattern(path: str) -> str:
+def as_pattern(path: str) -> str:
     """A path that Spark takes by the letter, whatever marks of patterns it holds."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 

@@ -6,6 +6,8 @@ from shop import RAW, write_landing
 
 from shopmart.operators.checks import QualityError
 from shopmart.plans import daily
+from shopmart.sources.contracts import HeaderError
+from shopmart.sources.seeds import read_seeds
 from shopmart.streaming import changes
 
 DAY1, DAY2 = "2018-01-01 06:00:00", "2018-01-02 06:00:00"
@@ -106,10 +108,40 @@ def test_views_and_reports_of_the_published_marts(spark, warehouse, first_run):
     assert joined.first()[0] == warehouse.mart("fct_order_items").count()
     assert spark.sql("select state from stg_customers where customer_id = 'c1'").first()[0] == "SP"
     assert spark.sql("select customer_state from raw_customers").count() == len(RAW["customers"])
+    assert spark.sql("select * from int_orders_enriched where order_id = 'o1'").first().items_count == 2
+    assert spark.sql("select * from int_customer_orders").count() == 5
+    assert spark.sql("select count(*) from seed_category_overrides").first()[0] > 0
+    open_versions = spark.sql("select order_id from order_status_history where dbt_valid_to is null")
+    assert open_versions.count() == len(RAW["orders"])
     reports = daily.write_findings(warehouse)
     assert len(reports) == 9 and reports["kpi_summary"].count() == 1
 
 
+def test_seed_files_of_the_user(spark, tmp_path):
+    (tmp_path / "own holidays.csv").write_text("holiday_name,holiday_date\n\"Shop, day\",2017-06-01\n")
+    (tmp_path / "names.csv").write_text("category_name,category_name_en\npc_gamer,gaming\n")
+    given = {"national_holidays": f"{tmp_path}/own holidays.csv", "category_overrides": f"{tmp_path}/names.csv"}
+    warehouse = daily.Warehouse(spark, str(tmp_path / "w"), seed_files=given)
+    published = daily.run_daily(warehouse, str(write_landing(tmp_path / "in")), DAY1)
+    holidays = published["dim_date"].filter("is_br_holiday").collect()
+    assert [(str(r.date_day), r.holiday_name) for r in holidays] == [("2017-06-01", "Shop, day")]
+    named = {r.product_id: r.category_name_en for r in published["dim_products"].collect()}
+    assert named["x3"] == "gaming"
+
+
+def test_seed_files_are_held_to_their_columns_and_types(spark, tmp_path):
+    (tmp_path / "h.csv").write_text("holiday_date,name\n2017-06-01,x\n")
+    (tmp_path / "o.csv").write_text("category_name\nx\n")
+    with pytest.raises(HeaderError) as caught:
+        read_seeds(spark, {"national_holidays": f"{tmp_path}/h.csv", "category_overrides": f"{tmp_path}/o.csv"})
+    assert "lacks the column holiday_name" in str(caught.value) and "lacks the column category_name_en" in str(caught.value)
+    (tmp_path / "h.csv").write_text("holiday_date,holiday_name\n1st of June,x\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_seeds(spark, {"national_holidays": f"{tmp_path}/h.csv"})["national_holidays"].collect()
+    with pytest.raises(ValueError, match="no such seed: days"):
+        read_seeds(spark, {"days": "x"})
+
+
 SCHEMA = "order_id string, order_status string, changed_at timestamp_ntz"
 
 

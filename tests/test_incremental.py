@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopmart.operators import snapshot, upsert
+from shopmart.operators.asof import as_of_join
 
 ORDER = "order_id string, order_status string, approved string, note string"
 CHECK = ("order_status", "approved")
@@ -166,3 +167,50 @@ def test_touched_partitions_include_where_the_key_was(frame):
     batch = frame([("a", "m3")], "k string, m string")
     touched = {r.m for r in upsert.touched_partitions(target, batch, "k", "m").collect()}
     assert touched == {"m1", "m3"}
+
+
+def brute_as_of(events, versions):
+    rows = []
+    for key, at in events:
+        valid = [
+            (start, state)
+            for k, state, start, end in versions
+            if None not in (key, at) and k == key and start <= at and (end is None or end > at)
+        ]
+        start, state = max(valid, default=(None, None))
+        rows.append((key, at, state, start))
+    return sorted(rows, key=repr)
+
+
+@pytest.mark.parametrize("span", ["hour", "month", "year"])
+def test_each_event_takes_the_version_valid_at_its_time(spark, span):
+    """A hot key, gaps, versions that start together or at an event, nulls, events before all versions."""
+    import random
+
+    rng = random.Random(3)
+    moment = lambda h: f"2018-{1 + h // 672:02d}-{1 + h // 24 % 28:02d} {h % 24:02d}:00:00"
+    versions, events = [], [(None, moment(5)), ("hot", None), ("unknown", moment(7)), (None, None)]
+    for key, steps in (("hot", 300), ("a", 5), ("b", 1), ("gap", 4)):
+        starts = sorted(rng.sample(range(4000), steps))
+        for i, start in enumerate(starts):
+            end = starts[i + 1] - (1 if key == "gap" else 0) if i + 1 < steps else None
+            versions.append((key, f"{key}{i}", moment(start), None if end is None else moment(end)))
+            events.append((key, moment(start)))
+        events += [(key, moment(rng.randrange(4032))) for _ in range(60)] + [(key, moment(100))] * 2
+    # one that ended as it started never counts
+    versions.append(("b", "void", versions[305][2], versions[305][2]))
+    history = spark.createDataFrame(versions, "k string, state string, f string, t string").selectExpr(
+        "k", "state", "to_timestamp_ntz(f) as dbt_valid_from", "to_timestamp_ntz(t) as dbt_valid_to"
+    )
+    asked = spark.createDataFrame(events, "k string, at string").selectExpr("k", "to_timestamp_ntz(at) as at")
+    found = as_of_join(asked, history, "k", "at", ["state"], span)
+    told = found.selectExpr("k", "cast(at as string)", "state", "cast(dbt_valid_from as string)").collect()
+    assert sorted((tuple(r) for r in told), key=repr) == brute_as_of(events, versions)
+
+
+def test_as_of_join_of_empty_tables(frame):
+    history = frame([], "k string, state string, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz")
+    events = frame([("a", "2018-01-01")], "k string, at string").selectExpr("k", "to_timestamp_ntz(at) as at")
+    (row,) = as_of_join(events, history, "k", "at", ["state"]).collect()
+    assert (row.k, row.state) == ("a", None)
+    assert as_of_join(events.limit(0), history, "k", "at", ["state"]).count() == 0

@@ -210,7 +210,7 @@ def test_folders_of_any_name(spark, tmp_path, name):
     folder = write_landing(tmp_path / "x")
     os.rename(folder, tmp_path / name)
     publisher = Publisher(spark, str(tmp_path / "raw"))
-    where = landing._as_pattern(str(tmp_path / name))
+    where = landing.as_pattern(str(tmp_path / name))
     raw = landing.load_raw(spark, where, publisher)
     assert {t: df.count() for t, df in raw.items()} == {t: len(rows) for t, rows in RAW.items()}
     audit = {r.table_name: (r.row_count, r.sha256) for r in publisher.read("load_audit").collect()}

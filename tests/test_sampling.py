@@ -55,3 +55,23 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     shuffle = text.index("Exchange hashpartitioning")
     assert "WindowGroupLimit" in text[shuffle:]
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+@pytest.mark.parametrize("count", [0, 1, 17, 999, 1500, 3000, 5000])
+def test_a_sample_of_any_size(spark, monkeypatch, count, digits):
+    """Equal hashes (repeated ids) included; more than there are is all of them."""
+    monkeypatch.setattr(sampling, "HASH_DIGITS", digits)
+    orders = spark.range(3000).selectExpr("id % 2900 as order_id", "id as other")
+    got = sampling.sample_orders(orders, count).select("order_id").collect()
+    ids = sorted((i % 2900 for i in range(3000)), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    assert sorted(r[0] for r in got) == sorted(ids[:count])
+
+
+def test_a_large_sample_is_not_sorted_in_one_task(spark):
+    orders = spark.range(1000).selectExpr("id as order_id")
+    text = sampling.sample_orders(orders, 300)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in text and "GlobalLimit" not in text
+    for below in text.split("Exchange SinglePartition")[1:]:
+        source = next(line for line in below.splitlines()[1:] if "Project" not in line and "Sort" not in line)
+        assert "HashAggregate" in source
