@@ -42,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -67,8 +68,21 @@ class Reached:
     """At which step phrases reached the threshold, by their hash."""
 
     def __init__(self, cell_bits: int) -> None:
+        self.cell_bits = cell_bits
         self.cells = np.full(1 << cell_bits, NEVER, np.uint8)
 
+    def __reduce__(self):
+        """Sent as the cells that are set while they are few, as all cells at most."""
+        places = np.flatnonzero(self.cells != NEVER).astype(np.uint32)
+        few = 5 * len(places) < len(self.cells)
+        return Reached.of, (self.cell_bits, places if few else None, self.cells[places] if few else self.cells)
+
+    @classmethod
+    def of(cls, cell_bits: int, places: np.ndarray | None, steps: np.ndarray) -> Reached:
+        made = cls(cell_bits)
+        made.cells[slice(None) if places is None else places] = steps
+        return made
+
     def set(self, cells: np.ndarray, step: int) -> None:
         self.cells[cells] = np.minimum(self.cells[cells], step)
 
@@ -144,13 +158,11 @@ def count_phrases(
         at, steps, hashes, names = at[kept], steps[kept], hashes[kept], names[kept]
 
 
-def _step(shard: DataFrame, reached: Reached, step: int, shards: int, max_words: int) -> DataFrame:
+def _step(shard: DataFrame, sent: Broadcast[Reached], step: int, shards: int, max_words: int) -> DataFrame:
     """(lang, phrase, size, start, n) of a shard, partly added up."""
-    sent = shard.sparkSession.sparkContext.broadcast(reached.cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Reached(0)
-        known.cells = sent.value
+        known = sent.value
         for whole in batches:
             for batch in slices(whole, chars=6_000_000):
                 by_lang: dict[str, list[str]] = {}
@@ -217,12 +229,14 @@ def frequent_phrases(
     running = n_words = None
     step, until = 0, shards - 1
     while step <= until:
-        counted = _step(dealt.where(F.col("shard") == step % shards), reached, step, shards, max_words)
+        sent = spark.sparkContext.broadcast(reached)
+        counted = _step(dealt.where(F.col("shard") == step % shards), sent, step, shards, max_words)
         counted = counted.withColumn("before", F.lit(0).cast("long"))
         if running is not None:
             counted = counted.unionByName(running.withColumn("before", F.col("n")))
         counts = counted.groupBy("lang", "phrase", "size", "start").agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
         counts = materialize(counts, f"counts{step}")
+        sent.destroy()
         if step == shards - 1:
             n_words = counts.where("size = 1").groupBy("lang").agg(F.sum("n").alias("n_words"))
         ended = F.col("start") + shards - 1 <= step
