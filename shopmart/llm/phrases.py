@@ -20,7 +20,9 @@ A task names the phrases of a slice of texts by the numbers of their words and s
 each once with its count; counts are added up in Spark before and after the shuffle.
 Between steps the counts of unfinished phrases are written to the shared folder, those
 that end below the threshold are dropped, and those that reach it are written to the result.
-There are at most 5 cycles, as a phrase waits for one cycle of its parts.
+There are at most 5 cycles, as a phrase waits for one cycle of its parts. After two of them all
+frequent pairs are known, and the shards are written anew with nothing but the stretches
+of frequent pairs, which is all that longer phrases can be made of.
 
 Scores are exact in DECIMAL(38, 0): 1000 times a count times the words of a language has to
 be below 10**38, else the job fails.
@@ -52,7 +54,7 @@ from shopmart.session import checkpoint_dir, materialize
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-SHARDS = 4
+SHARDS = 3
 CELL_BITS = 24
 NEVER = 255
 
@@ -62,6 +64,7 @@ _FOLD = bytes.maketrans(
     b"abcdefghijklmnopqrstuvwxyz " + _BREAK * 10,
 )
 _COUNTS = "lang string, phrase string, size int, start int, n long"
+_TEXTS = "lang string, text string, shard int"
 
 
 class Reached:
@@ -108,80 +111,125 @@ def longer_hashes(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(32))) + last
 
 
-def split_words(rows: list[str]) -> list[bytes]:
-    """Words of the texts in lower case, with a break after each piece."""
-    joined = _BREAK.join([t.encode().translate(_FOLD) for t in rows])
-    return joined.replace(_BREAK, b" " + _BREAK + b" ").split()
+class Slice:
+    """The words of some texts of a language, numbered, with a break after each piece."""
+
+    def __init__(self, lang: str, rows: list[str]) -> None:
+        joined = _BREAK.join([t.encode().translate(_FOLD) for t in rows])
+        joined = joined.replace(_BREAK, b" " + _BREAK + b" ")
+        ends = pa.py_buffer(np.array([0, len(joined)], np.int64))
+        whole = pa.Array.from_buffers(pa.large_string(), 1, [None, ends, pa.py_buffer(joined)])
+        # All white space left is the blank; nothing stands before the first or after the last one.
+        words = pc.ascii_split_whitespace(whole).flatten().dictionary_encode()
+        self.ids = words.indices.to_numpy().astype(np.int64)
+        self.spelled = words.dictionary
+        plain = self.spelled.cast(pa.large_binary()).to_pylist()
+        self.is_word = np.array([w not in (b"", _BREAK) for w in plain], bool)
+        self.hashes = word_hashes(lang, plain)
+
+    def pairs(self, reached: Reached) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of reached words, their steps, hashes and names."""
+        when = np.where(self.is_word, reached.steps(self.hashes), np.uint8(NEVER))[self.ids]
+        at = np.flatnonzero(when != NEVER)
+        return at, when[at], self.hashes[self.ids[at]], self.ids[at]
+
+    def longer(
+        self, at: np.ndarray, steps: np.ndarray, hashes: np.ndarray, size: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where a phrase of ``size`` words begins whose beginning and end have been reached: which
+        of the given places, when its cycle begins, its last word and its hash.
+        """
+        pair = np.flatnonzero(np.diff(at) == 1)
+        start = np.maximum(steps[pair], steps[pair + 1]).astype(np.int64) + 1
+        last = self.ids[at[pair] + size - 1]
+        return pair, start, last, longer_hashes(hashes[pair], self.hashes[last])
 
 
 def count_phrases(
-    lang: str, rows: list[str], reached: Reached, step: int, shards: int, max_words: int
+    part: Slice, reached: Reached, step: int, shards: int, max_words: int
 ) -> Iterator[tuple[pa.Array, int, np.ndarray, np.ndarray]]:
     """Counts of the phrases whose cycle covers this step: phrases, their size, starts and counts."""
-    words = split_words(rows)
-    numbers = dict.fromkeys(words)
-    numbers.pop(_BREAK, None)
-    vocabulary = list(numbers)
-    numbers = dict(zip(vocabulary, range(len(vocabulary))))
-    numbers[_BREAK] = len(vocabulary)
-    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    if not vocabulary:
-        return
-    spelled = pa.array(vocabulary, pa.string())
     if step < shards:
-        yield spelled, 1, np.zeros(len(vocabulary), np.int64), np.bincount(ids, minlength=len(vocabulary))[: len(vocabulary)]
-    of_word = word_hashes(lang, vocabulary)
-    # The break never reaches the threshold, so no phrase goes over it.
-    when = np.append(reached.steps(of_word), np.uint8(NEVER))
-    at = np.flatnonzero(when[ids] != NEVER)
-    steps, hashes, names = when[ids[at]], of_word[ids[at]], ids[at]
+        known = np.flatnonzero(part.is_word)
+        counts = np.bincount(part.ids, minlength=len(part.is_word))[known]
+        yield part.spelled.take(pa.array(known)), 1, np.zeros(len(known), np.int64), counts
+    at, steps, hashes, names = part.pairs(reached)
     for size in range(2, max_words + 1):
-        # Places where the phrase one shorter and the one a word later have both been reached.
-        pair = np.flatnonzero(np.diff(at) == 1)
-        start = np.maximum(steps[pair], steps[pair + 1]).astype(np.int64) + 1
-        at, last = at[pair], ids[at[pair] + size - 1]
-        hashes = longer_hashes(hashes[pair], of_word[last])
-        names = names[pair] * len(vocabulary) + last
+        pair, start, last, hashes = part.longer(at, steps, hashes, size)
+        at, names = at[pair], names[pair] * len(part.is_word) + last
         due = step < start + shards
         steps = reached.steps(hashes)
         used = due | (steps != NEVER)
-        at, start, steps, hashes, due = at[used], start[used], steps[used], hashes[used], due[used]
+        at, start, steps, hashes, due, names = (a[used] for a in (at, start, steps, hashes, due, names))
         if not len(at):
             return
-        _, first, names, counts = np.unique(names[used], return_index=True, return_inverse=True, return_counts=True)
+        _, names, counts = np.unique(names, return_inverse=True, return_counts=True)
+        first = np.empty(len(counts), np.int64)
+        first[names] = np.arange(len(names))
         counted = due[first]
-        place = at[first[counted]]
+        place, starts = at[first[counted]], start[first[counted]]
         if len(place):
-            parts = [spelled.take(pa.array(ids[place + k])) for k in range(size)]
-            yield pc.binary_join_element_wise(*parts, " "), size, start[first[counted]], counts[counted]
+            parts = [part.spelled.take(pa.array(part.ids[place + k])) for k in range(size)]
+            yield pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())), size, starts, counts[counted]
         kept = steps != NEVER
         at, steps, hashes, names = at[kept], steps[kept], hashes[kept], names[kept]
 
 
+def frequent_stretches(part: Slice, reached: Reached) -> str:
+    """The stretches of three words or more of which any two in a row are a reached phrase, a piece each."""
+    at, steps, hashes, _ = part.pairs(reached)
+    pair, _, _, hashes = part.longer(at, steps, hashes, 2)
+    at = at[pair][reached.steps(hashes) != NEVER]
+    beside = np.diff(at) == 1
+    at = at[np.append(beside, False) | np.append(False, beside)] if len(at) else at
+    words = np.union1d(at, at + 1)
+    ends = np.flatnonzero(~np.isin(words, at, assume_unique=True))
+    ids = np.insert(part.ids[words], ends + 1, len(part.spelled))
+    spelled = pa.concat_arrays([part.spelled, pa.array(["\n"], pa.large_string())])
+    return " ".join(spelled.take(pa.array(ids)).to_pylist())
+
+
+def _slices(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, Slice]]:
+    for whole in batches:
+        for batch in slices(whole, chars=12_000_000):
+            groups: dict[tuple, list[str]] = {}
+            for key, text in zip(zip(*(batch.column(c).to_pylist() for c in by)), texts(batch)):
+                groups.setdefault(key, []).append(text)
+            for key, rows in groups.items():
+                yield key, Slice(key[0], rows)
+
+
 def _step(shard: DataFrame, sent: Broadcast[Reached], step: int, shards: int, max_words: int) -> DataFrame:
     """(lang, phrase, size, start, n) of a shard, partly added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        for whole in batches:
-            for batch in slices(whole, chars=6_000_000):
-                by_lang: dict[str, list[str]] = {}
-                for lang, text in zip(batch.column("lang").to_pylist(), texts(batch)):
-                    by_lang.setdefault(lang, []).append(text)
-                for lang, rows in by_lang.items():
-                    for phrases, size, start, n in count_phrases(lang, rows, known, step, shards, max_words):
-                        columns = [
-                            pa.repeat(pa.scalar(lang), len(phrases)),
-                            phrases,
-                            pa.repeat(pa.scalar(size, pa.int32()), len(phrases)),
-                            pa.array(start.astype(np.int32)),
-                            pa.array(n.astype(np.int64)),
-                        ]
-                        yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "start", "n"])
+        for (lang,), part in _slices(batches, ["lang"]):
+            for phrases, size, start, n in count_phrases(part, sent.value, step, shards, max_words):
+                columns = [
+                    pa.repeat(pa.scalar(lang), len(phrases)),
+                    phrases.cast(pa.string()),
+                    pa.repeat(pa.scalar(size, pa.int32()), len(phrases)),
+                    pa.array(start.astype(np.int32)),
+                    pa.array(n.astype(np.int64)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "start", "n"])
 
     return shard.select("lang", "text").mapInArrow(run, _COUNTS)
 
 
+def _trimmed(dealt: DataFrame, sent: Broadcast[Reached]) -> DataFrame:
+    """The shards without what no phrase of three words or more can be part of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (lang, shard), part in _slices(batches, ["lang", "shard"]):
+            text = frequent_stretches(part, sent.value)
+            if text:
+                columns = [pa.array([lang]), pa.array([text]), pa.array([shard], pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "text", "shard"])
+
+    return dealt.select("lang", "text", "shard").mapInArrow(run, _TEXTS)
+
+
 def _cells(phrases: DataFrame, cell_bits: int) -> np.ndarray:
     """The filter's cells of the phrases: no more than it has."""
 
@@ -223,13 +271,17 @@ def frequent_phrases(
         F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"),
     )
     dealt.where("text <> ''").write.partitionBy("shard").parquet(f"{folder}/shards")
-    dealt = spark.read.schema("lang string, text string, shard int").parquet(f"{folder}/shards")
+    dealt = spark.read.schema(_TEXTS).parquet(f"{folder}/shards")
 
     reached = Reached(cell_bits)
     running = n_words = None
     step, until = 0, shards - 1
     while step <= until:
         sent = spark.sparkContext.broadcast(reached)
+        if step == 2 * shards:
+            # Words are counted after one cycle and pairs after two.
+            _trimmed(dealt, sent).write.partitionBy("shard").parquet(f"{folder}/trimmed")
+            dealt = spark.read.schema(_TEXTS).parquet(f"{folder}/trimmed")
         counted = _step(dealt.where(F.col("shard") == step % shards), sent, step, shards, max_words)
         counted = counted.withColumn("before", F.lit(0).cast("long"))
         if running is not None:

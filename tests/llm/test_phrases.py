@@ -63,7 +63,7 @@ def test_a_phrase_is_counted_for_one_cycle_from_its_activation():
     texts = ["a b c. a b d"]
 
     def counted(step):
-        found = phrases.count_phrases("en", texts, reached, step, 3, 5)
+        found = phrases.count_phrases(phrases.Slice("en", texts), reached, step, 3, 5)
         return {(p, s): n for names, _, starts, counts in found for p, s, n in zip(names.to_pylist(), starts.tolist(), counts.tolist())}
 
     assert counted(0) == {("a", 0): 2, ("b", 0): 2, ("c", 0): 1, ("d", 0): 1}
@@ -77,6 +77,21 @@ def test_a_phrase_is_counted_for_one_cycle_from_its_activation():
     assert reached.steps(np.array([b]))[0] == 1
 
 
+def test_what_is_left_for_longer_phrases():
+    reached = phrases.Reached(20)
+    words = [b"a", b"b", b"c", b"x"]
+    hashes = dict(zip("abcx", phrases.word_hashes("en", words)))
+    for phrase in ("a", "b", "c", "x", "a b", "b c", "c a"):
+        first, *rest = phrase.split()
+        total = np.array([hashes[first]])
+        for word in rest:
+            total = phrases.longer_hashes(total, hashes[word])
+        reached.set(np.concatenate(phrases.cells_of(total, 1 << 20)), 0)
+    part = phrases.Slice("en", ["a b x b c. a B C a rare a b", " ", "c a b, c a", "a b a b c"])
+    assert phrases.frequent_stretches(part, reached).split(" \n") == ["a b c a", " c a b", " a b c", ""]
+    assert phrases.frequent_stretches(phrases.Slice("en", ["", "rare"]), reached) == ""
+
+
 def duck(folder):
     connection = duckdb.connect()
     connection.execute(f"create view documents as select * from read_parquet('{folder}')")
