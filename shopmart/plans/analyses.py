@@ -215,30 +215,43 @@ def lines_per_order(fct_order_items: DataFrame, key: str) -> DataFrame:
     Joining orders to this cannot fan out, and an order with very many items
     arrives as one row per key.
     """
+    carried = [F.any_value(c).alias(c) for c in ORDER_MEASURES if c in fct_order_items.columns]
     return fct_order_items.groupBy(key, "order_id").agg(
-        F.sum("revenue").alias("revenue"), F.count("*").alias("lines")
+        F.sum("revenue").alias("revenue"), F.count("*").alias("lines"), *carried
     )
 
 
+ORDER_MEASURES = ("review_score", "is_late")
+
+
+def with_order_measures(lines: DataFrame, fct_orders: DataFrame | None) -> DataFrame:
+    """Review score and lateness of the order; items that bring them along need no orders."""
+    if fct_orders is None:
+        return lines
+    return lines.join(fct_orders.select("order_id", *ORDER_MEASURES), "order_id")
+
+
 def with_category(fct_order_items: DataFrame, dim_products: DataFrame) -> DataFrame:
     category = F.col("category_name_en").alias("category")
     return fct_order_items.join(dim_products.select("product_id", category), "product_id")
 
 
 def category_pareto(
-    fct_order_items: DataFrame, dim_products: DataFrame, fct_orders: DataFrame, top: int = 15
+    fct_order_items: DataFrame,
+    dim_products: DataFrame,
+    fct_orders: DataFrame | None = None,
+    top: int = 15,
 ) -> DataFrame:
     """Categories by revenue with running share; review and late means weigh items."""
     lines = lines_per_order(
         with_category(fct_order_items.filter("is_delivered"), dim_products), "category"
     )
-    orders = fct_orders.select("order_id", "review_score", "is_late")
     n = F.col("lines")
     scored = F.when(F.col("review_score").isNotNull(), n)
     dated = F.when(F.col("is_late").isNotNull(), n)
     late = F.when(F.col("is_late"), n).otherwise(0)
     by_category = (
-        lines.join(orders, "order_id")
+        with_order_measures(lines, fct_orders)
         .groupBy("category")
         .agg(
             F.sum("revenue").alias("revenue_brl"),

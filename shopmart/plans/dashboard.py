@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from shopmart.functions.calendar import month_start, months_between_starts
 from shopmart.functions.numeric import mean, percent, ratio, true_percent
-from shopmart.plans.analyses import delay_bucket, kpis, lines_per_order, with_category
+from shopmart.plans.analyses import (
+    delay_bucket,
+    kpis,
+    lines_per_order,
+    with_category,
+    with_order_measures,
+)
 
 
 def kpi_by_year(fct_orders: DataFrame) -> DataFrame:
@@ -173,13 +179,12 @@ def review_by_delay_bucket(fct_orders: DataFrame) -> DataFrame:
 
 
 def order_level_measures(
-    fct_order_items: DataFrame, dim_products: DataFrame, fct_orders: DataFrame
+    fct_order_items: DataFrame, dim_products: DataFrame, fct_orders: DataFrame | None = None
 ) -> DataFrame:
     """Item revenue and order measures side by side, every order once per category."""
     lines = lines_per_order(with_category(fct_order_items, dim_products), "category")
-    orders = fct_orders.select("order_id", "review_score", "is_late")
     return (
-        lines.join(orders, "order_id")
+        with_order_measures(lines, fct_orders)
         .groupBy("category")
         .agg(
             F.sum("revenue").alias("revenue_brl"),
@@ -194,20 +199,24 @@ def order_level_measures(
 
 def customer_kpis(
     dim_customers: DataFrame,
-    fct_orders: DataFrame,
+    fct_orders: DataFrame | None = None,
     by: str = "rfm_segment",
     segment: str | None = None,
 ) -> DataFrame:
-    """Customers, repeat rate and mean review, optionally for one RFM segment."""
+    """Customers, repeat rate and mean review, optionally for one RFM segment.
+
+    Customers that carry their review scores need no orders.
+    """
     if segment is not None:
         dim_customers = dim_customers.filter(F.col("rfm_segment") == segment)
-    scores = fct_orders.groupBy("customer_unique_id").agg(
-        F.sum("review_score").alias("score_sum"), F.count("review_score").alias("scores")
-    )
+    if fct_orders is not None:
+        scores = fct_orders.groupBy("customer_unique_id").agg(
+            F.sum("review_score").alias("score_sum"), F.count("review_score").alias("scores")
+        )
+        dim_customers = dim_customers.join(scores, "customer_unique_id", "left")
     buyers = F.count_if(F.col("delivered_orders") > 0)
     return (
-        dim_customers.join(scores, "customer_unique_id", "left")
-        .groupBy(by)
+        dim_customers.groupBy(by)
         .agg(
             F.count("*").alias("customers"),
             percent(F.count_if("is_repeat_customer"), buyers, 2).alias("repeat_rate_pct"),
@@ -217,12 +226,13 @@ def customer_kpis(
     )
 
 
-def seller_complaints(fct_order_items: DataFrame, fct_orders: DataFrame) -> DataFrame:
+def seller_complaints(
+    fct_order_items: DataFrame, fct_orders: DataFrame | None = None
+) -> DataFrame:
     """Who drives complaints: every order counts once for each of its sellers."""
-    sold = lines_per_order(fct_order_items, "seller_id").select("seller_id", "order_id")
-    orders = fct_orders.select("order_id", "review_score", "is_late")
+    sold = lines_per_order(fct_order_items, "seller_id")
     return (
-        sold.join(orders, "order_id")
+        with_order_measures(sold, fct_orders)
         .groupBy("seller_id")
         .agg(
             F.count("*").alias("orders"),

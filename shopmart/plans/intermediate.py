@@ -160,15 +160,18 @@ def orders_enriched(
 ADDRESS = ("zip_code_prefix", "city", "state")
 
 
-def customer_orders(orders: DataFrame) -> DataFrame:
+def customer_orders(orders: DataFrame, scores: bool = False) -> DataFrame:
     """Order history per person, with the address of the latest order.
 
+    ``scores`` adds the sum and number of review scores, for orders that have them.
+
     ``orders`` is :func:`orders_enriched` with items and ``address=ADDRESS``
     (``state`` is carried as the address state).  Orders placed at the same
     moment are told apart by the highest ``customer_id``.
     """
     delivered = F.col("is_delivered")
     revenue = F.coalesce(F.sum(F.when(delivered, F.col("items_amount"))), F.lit(0))
+    reviewed = [F.sum("review_score").alias("score_sum"), F.count("review_score").alias("scores")]
     return (
         orders.groupBy("customer_unique_id")
         .agg(
@@ -179,6 +182,7 @@ def customer_orders(orders: DataFrame) -> DataFrame:
             F.max(F.when(delivered, F.col("purchased_at"))).alias("last_delivered_order_at"),
             revenue.cast(MONEY_TOTAL).alias("lifetime_revenue"),
             F.max_by(F.struct(*ADDRESS), F.struct("purchased_at", "customer_id")).alias("latest"),
+            *(reviewed if scores else ()),
         )
         .select("*", "latest.*")
         .drop("latest")

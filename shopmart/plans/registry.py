@@ -98,6 +98,19 @@ class Models:
         """The customer dimension without coordinates."""
         return marts.dim_customers(self.history)
 
+    @cached_property
+    def scored_rfm(self) -> DataFrame:
+        """The customer dimension without coordinates, with review scores."""
+        orders = self.enriched(items=True, reviews=True, address=intermediate.ADDRESS)
+        return marts.dim_customers(intermediate.customer_orders(orders, scores=True))
+
+    @cached_property
+    def items_with_measures(self) -> DataFrame:
+        """The item fact with review score and lateness of the order."""
+        return marts.fct_order_items(
+            self.stg["order_items"], self.enriched(reviews=True), analyses.ORDER_MEASURES
+        )
+
     @cached_property
     def dim_products(self) -> DataFrame:
         return marts.dim_products(
@@ -396,9 +409,7 @@ def monthly_cohorts(m: Models) -> DataFrame:
 
 @query
 def category_pareto(m: Models) -> DataFrame:
-    return analyses.category_pareto(
-        m.fct_order_items, m.dim_products, m.fct_orders(reviews=True)
-    )
+    return analyses.category_pareto(m.items_with_measures, m.dim_products)
 
 
 @query
@@ -474,24 +485,22 @@ def review_by_delay_bucket(m: Models) -> DataFrame:
 
 @query
 def order_level_measures_no_fanout(m: Models) -> DataFrame:
-    return dashboard.order_level_measures(
-        m.fct_order_items, m.dim_products, m.fct_orders(reviews=True)
-    )
+    return dashboard.order_level_measures(m.items_with_measures, m.dim_products)
 
 
 @query
 def customer_kpis_by_segment(m: Models) -> DataFrame:
-    return dashboard.customer_kpis(m.rfm, m.fct_orders(reviews=True))
+    return dashboard.customer_kpis(m.scored_rfm)
 
 
 @query
 def champions_by_state(m: Models) -> DataFrame:
-    return dashboard.customer_kpis(m.rfm, m.fct_orders(reviews=True), "state", "champions")
+    return dashboard.customer_kpis(m.scored_rfm, by="state", segment="champions")
 
 
 @query
 def seller_complaints(m: Models) -> DataFrame:
-    return dashboard.seller_complaints(m.fct_order_items, m.fct_orders(reviews=True))
+    return dashboard.seller_complaints(m.items_with_measures)
 
 
 # --- incremental load and history ---------------------------------------------
