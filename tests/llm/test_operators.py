@@ -132,6 +132,20 @@ def test_components(spark):
 pieces = st.sampled_from(["a", "the", "'s", " ", "  ", "\n", "\t", "é", "中", "12", "#", "<|endoftext|>", " ", ".", "Ab"])
 
 
+marks = st.sampled_from([*".,;:!?'\"-_()", "'s", "'ll", "a", "Wort", "é", "ÿ", "×", "÷", "ª", "²", "½", "ǅ", "ɏ", "ɐ", "я", "中", "e\u0301", "7", " ", "  ", "\n", "…", "🙂"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(marks, max_size=24).map("".join))
+def test_words_and_marks_are_encoded_as_by_the_library(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    (ids,) = tokens.encoder_of(path).encode([text])
+    assert ids.tolist() == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(pieces, max_size=20).map("".join), max_size=4))
 def test_encoder_equals_the_library(rows):
