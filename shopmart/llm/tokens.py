@@ -174,7 +174,7 @@ class Encoder:
     ``most``, so that memory is bounded and frequent ones stay.
     """
 
-    def __init__(self, vocabulary: str, most: int = 800_000) -> None:
+    def __init__(self, vocabulary: str, most: int = 600_000) -> None:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -270,7 +270,7 @@ def write_tokens(
         files, root = open_folder(folder)
         name, own = f"{root}/shard-{shard:06d}.bpl", f"{root}/.shard-{shard:06d}-{uuid.uuid4().hex}"
         for whole in batches:
-            for batch in slices(whole, chars=8_000_000):
+            for batch in slices(whole, chars=4_000_000):
                 if writer is None:
                     encoder = encoder_of(path_of)
                     files.create_dir(root, recursive=True)
