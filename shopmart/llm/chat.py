@@ -125,7 +125,13 @@ def attachments(parts: Column) -> Column:
 
 def text_part(text: Column) -> Column:
     """A part that holds a text."""
-    return F.struct(F.lit("text").alias("kind"), F.coalesce(text, F.lit("")).alias("text"))
+    return _whole_part({"kind": F.lit("text"), "text": F.coalesce(text, F.lit(""))})
+
+
+def _whole_part(given: dict[str, Column]) -> Column:
+    """A :data:`PART` of the given fields, the others null."""
+    fields = [f.split(":") for f in PART.removeprefix("struct<").removesuffix(">").split(", ")]
+    return F.struct(*[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in fields])
 
 
 def format_chats(
@@ -138,21 +144,20 @@ def format_chats(
 ) -> DataFrame:
     """One row per conversation: ``conversation, segments, attachments, expanded_tokens``.
 
-    ``parts`` has lists of :data:`PART`; fields of kinds that do not occur may be
-    left out if no part is an attachment. ``segments`` are (text, loss) in order; their texts joined
+    ``parts`` has lists of :data:`PART`; fields left out count as null. ``segments`` are (text, loss) in order; their texts joined
     are the formatted conversation. ``attachments`` are (turn, kind, ref, tokens) in
     the order of the placeholders.
     """
-    whole = {f.name for f in messages.schema[parts].dataType.elementType.fields} >= {"ref", "width", "height", "seconds", "pages"}
-    none = F.array().cast("array<struct<kind:string,ref:string,tokens:bigint>>")
+    fields = messages.schema[parts].dataType.elementType.names
+    typed = F.transform(parts, lambda part: _whole_part({name: part[name] for name in fields}))
     who = F.coalesce(F.col(role), F.lit(""))
     formatted = messages.select(
         F.col(conversation).alias("conversation"),
         F.struct(
             F.col(turn).alias("turn"),
             who.alias("role"),
-            (flatten if whole else _flatten_texts)(F.col(parts)).alias("content"),
-            (attachments(F.col(parts)) if whole else none).alias("attached"),
+            flatten(typed).alias("content"),
+            attachments(typed).alias("attached"),
         ).alias("message"),
     )
     gathered = formatted.groupBy("conversation").agg(F.sort_array(F.collect_list("message")).alias("messages"))
@@ -183,12 +188,6 @@ def format_chats(
     )
 
 
-def _flatten_texts(parts: Column) -> Column:
-    """:func:`flatten` for lists whose parts are all texts."""
-    texts = F.transform(parts, lambda part: escape(F.coalesce(part["text"], F.lit(""))))
-    return F.coalesce(F.array_join(texts, BETWEEN_TEXTS), F.lit(""))
-
-
 def formatted_text(segments: Column) -> Column:
     return F.array_join(F.transform(segments, lambda s: s["text"]), "")
 
@@ -219,19 +218,41 @@ def read_parts(content: Column) -> Column:
     )
 
 
+def joined_texts(parts: Column) -> Column:
+    """The texts of :func:`read_parts`, with nothing between."""
+    return F.array_join(F.transform(F.filter(parts, lambda p: ~p["placeholder"]), lambda p: p["text"]), "")
+
+
 def read_loss(segments: Column) -> Column:
     """All text under the loss mask, unescaped, with nothing between."""
-    return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
+    learned = F.filter(segments, lambda s: s["loss"])
+    return F.array_join(F.transform(learned, lambda s: joined_texts(read_parts(s["text"]))), "")
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """Read formatted conversations back: turns, text under the mask, and their digests."""
+    """Read formatted conversations back: turns, text under the mask, and their digests.
+
+    A conversation whose placeholders are not as many as its attachments fails the job.
+    """
     read = formatted.select(
         F.col("conversation").alias("conv_id"),
+        F.size("attachments").alias("attached"),
         formatted_text(F.col("segments")).alias("formatted"),
         read_loss(F.col("segments")).alias("loss"),
-    ).select("*", read_turns(F.col("formatted")).alias("turns"))
-    written = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), unescape(t["content"]), F.lit("\n")))
+    )
+    turns = F.transform(
+        read_turns(F.col("formatted")),
+        lambda t: F.struct(t["role"].alias("role"), read_parts(t["content"]).alias("parts")),
+    )
+    read = read.select("*", turns.alias("turns"))
+    placeholders = F.flatten(F.transform("turns", lambda t: F.filter(t["parts"], lambda p: p["placeholder"])))
+    read = read.withColumn(
+        "turns",
+        F.when(F.size(placeholders) == F.col("attached"), F.col("turns")).otherwise(
+            F.raise_error(F.lit("placeholders and attachments differ"))
+        ),
+    )
+    written = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), joined_texts(t["parts"]), F.lit("\n")))
     return read.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

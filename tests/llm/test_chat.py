@@ -113,6 +113,28 @@ def test_parts_become_placeholders_and_are_read_back(spark):
     assert [tuple(p) for p in read[1]["parts"]] == [(False, "yes")] and read[2]["parts"] == read[3]["parts"] == []
 
 
+def test_messages_of_texts_alone_go_by_the_rules_of_each_kind(spark):
+    rows = [(1, 0, "assistant", [("text", "a <| b"), ("text", "c"), ("image", None), ("text", "d"), (None, "e")])]
+    fields = "conv_id long, turn long, role string, parts array<struct<kind:string, text:string>>"
+    formatted = chat.format_chats(spark.createDataFrame(rows, fields))
+    row = formatted.select("*", chat.formatted_text(F.col("segments")).alias("formatted")).first()
+    assert row["formatted"] == "<|im_start|>assistant\na <\\| b<|part|>c<|image|>d<|attachment|><|im_end|>\n"
+    assert [(a["kind"], a["tokens"]) for a in row["attachments"]] == [("image", 0), (None, 0)]
+    read = chat.digests(formatted).first()
+    assert read["turns_sha256"] == digest("assistant\na <| bcd\n") and read["loss_sha256"] == digest("a <| bcd")
+    assert read["loss_chars"] == len("a <| bcd")
+
+
+def test_the_query_visits_typed_parts_and_reads_them_back(spark, tmp_path, monkeypatch):
+    visited = []
+    for name in ("flatten", "attachments", "read_parts"):
+        step = getattr(chat, name)
+        monkeypatch.setattr(chat, name, lambda column, step=step, name=name: visited.append(name) or step(column))
+    spark.createDataFrame([(1, 1, "user", "x", "c", 1, 2)], FIELDS).write.parquet(f"{tmp_path}/conversations.parquet")
+    run("op11_chat", spark, str(tmp_path)).collect()
+    assert {*visited} == {"flatten", "attachments", "read_parts"}
+
+
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], FIELDS).write.parquet(f"{tmp_path}/conversations.parquet")
     got = run("op11_chat", spark, str(tmp_path)).collect()
