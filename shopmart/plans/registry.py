@@ -29,7 +29,7 @@ from shopmart.operators import checks as dq
 from shopmart.operators import digest, sampling, snapshot, upsert
 from shopmart.operators.asof import as_of_join
 from shopmart.plans import analyses, daily, dashboard, intermediate, marts, quality, staging
-from shopmart.session import materialize, scratch_folder
+from shopmart.session import fit_partitions, materialize, scratch_folder
 from shopmart.sources import landing, standin
 from shopmart.sources.contracts import RAW_COLUMNS, SourceFiles
 from shopmart.sources.export import export_csv, read_exported
@@ -54,6 +54,7 @@ class Models:
     def __init__(self, spark: SparkSession, folder: str, first_load: bool = False) -> None:
         self.spark = spark
         self.folder = folder
+        fit_partitions(spark, standin.input_bytes(spark, folder))
         self.source = standin.source_tables(spark, folder)
         self.raw = standin.raw_tables(self.source, first_load)
         self.stg = staging.stage(self.raw)

@@ -30,6 +30,11 @@ class Folder:
             return []
         return sorted(found.getPath().getName() for found in self._store.listStatus(path))
 
+    def size(self, name: str) -> int:
+        """Bytes of a file or of all files in a folder; 0 if it is not there."""
+        path = self._path(name)
+        return self._store.getContentSummary(path).getLength() if self._store.exists(path) else 0
+
     def read(self, name: str) -> str:
         stream = self._store.open(self._path(name))
         try:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shopmart.sources.files import Folder
 from shopmart.tables import TableSet
 
 # The second load sees every order; the first only those before this day.
@@ -48,6 +49,12 @@ def source_tables(spark: SparkSession, folder: str) -> TableSet:
     return TableSet({name: reader(name) for name in TABLES})
 
 
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """Stored bytes of the tables of one folder."""
+    files = Folder(spark, folder)
+    return sum(files.size(f"{name}.parquet") for name in TABLES)
+
+
 def _keys(left: str, right: str) -> Column:
     return F.col(left) == F.col(right)
 

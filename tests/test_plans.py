@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from shopmart import session
 from shopmart.plans import registry
 
 TABLES = Path("/root/testdata/sf0.001")
@@ -76,3 +77,24 @@ def test_windows_have_partition_keys_or_small_input(plan):
         below = text.partition("Exchange SinglePartition")[2].splitlines()[1:]
         source = next(line for line in below if "Project" not in line)
         assert "HashAggregate" in source
+
+
+def test_partitions_grow_with_the_input(spark, tmp_path, monkeypatch):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.range(1000).withColumnRenamed("id", "o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    stored = sum(f.stat().st_size for f in (tmp_path / "orders.parquet").glob("part-*.parquet"))
+    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 100)
+    before = {key: spark.conf.get(key) for key in session.PARTITION_CONF}
+    try:
+        for key in before:
+            spark.conf.unset(key)
+        registry.Models(spark, str(tmp_path))
+        assert int(spark.conf.get(initial)) >= stored // 100 > 4
+        assert {key: spark.conf.get(key) for key in before} == session.PARTITION_CONF
+        spark.conf.set(initial, "100000")
+        registry.Models(spark, str(tmp_path))
+        assert spark.conf.get(initial) == "100000"
+    finally:
+        spark.conf.unset(initial)
+        for key, value in before.items():
+            spark.conf.set(key, value)
