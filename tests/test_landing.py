@@ -277,3 +277,10 @@ def test_exported_files_are_read_back_as_they_were(spark, frame, tmp_path):
     back = read_exported(spark, str(tmp_path), "t", df.schema)
     assert back.schema.simpleString() == df.schema.simpleString()
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_compressed_files_are_read_back_as_they_were(spark, frame, tmp_path):
+    df = frame([(1, 'a "quoted"\nline', None), (2, "", True)], "a int, b string, c boolean")
+    assert export_csv({"t": df.coalesce(1)}, str(tmp_path), compression="gzip") == {"t": 2}
+    assert len([*(tmp_path / "t").glob("part-*.csv.gz")]) == 1
+    assert sorted(read_exported(spark, str(tmp_path), "t", df.schema).collect()) == sorted(df.collect())
