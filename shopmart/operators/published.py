@@ -9,7 +9,7 @@ table. The open versions of a history are stored in such buckets, too.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +21,10 @@ from shopmart.sources.publish import NO_PART, Location, Publisher, part_name
 
 OPEN, CLOSED = "open", "closed"
 BUCKETS = 64
+SLICES = 16
 #: A bucket of the index made of more folders is written anew.
 MOST_FOLDERS = 8
-_KEY, _AT, _BUCKET = "__key", "__at", "__bucket"
+_KEY, _AT, _BUCKET, _SLICE = "__key", "__at", "__bucket", "__slice"
 
 
 def _bucket(key: Column) -> Column:
@@ -35,28 +36,43 @@ def index_name(table: str) -> str:
 
 
 def _pairs(rows: DataFrame, key: str, part: Column) -> DataFrame:
-    """The part each key lies in."""
-    return rows.select(
+    """The part each key lies in. Tasks hold few buckets each, of which there are slices so that
+    none is a task of its own however large.
+    """
+    found = rows.select(
         F.col(key).alias(_KEY),
         part_name(part).alias(_AT),
         _bucket(F.col(key)).alias(_BUCKET),
-    ).distinct()
+        F.pmod(F.hash(F.col(key).cast("string")), F.lit(SLICES)).alias(_SLICE),
+    )
+    return found.repartition(_BUCKET, _SLICE).distinct().drop(_SLICE)
 
 
-def _write_index(publisher: Publisher, table: str, pairs: DataFrame, version: int) -> dict[str, str]:
+def _write_index(
+    publisher: Publisher, table: str, pairs: DataFrame, version: int, spread: bool = True
+) -> dict[str, str]:
     name = F.concat(F.col(_BUCKET), F.lit(f"@{version}"))
-    return publisher.write_parts(pairs, index_name(table), version, name, drop=(_BUCKET,))
+    return publisher.write_parts(pairs, index_name(table), version, name, drop=(_BUCKET,), spread=spread)
 
 
 def write_indexed(
-    publisher: Publisher, table: str, rows: DataFrame, key: str, part: Column, version: int
+    publisher: Publisher,
+    table: str,
+    rows: DataFrame,
+    key: str,
+    part: Column,
+    version: int,
+    derived: Mapping[str, Column] | None = None,
 ) -> dict[str, Location]:
-    """Write a table stored by ``part`` from scratch, and its index; returns the folders of both."""
-    folders = publisher.write_parts(rows, table, version, part)
+    """Write a table stored by ``part`` from scratch, and its index; returns the folders of both.
+
+    ``derived`` as in :meth:`Publisher.write_parts`.
+    """
+    folders = publisher.write_parts(rows, table, version, part, derived=derived)
     if not folders:  # an empty table, to have its columns
         folders = {NO_PART: publisher.write(rows.limit(0), table, version)}
     pairs = _pairs(publisher.read_at(folders), key, part)
-    return {table: folders, index_name(table): _write_index(publisher, table, pairs, version)}
+    return {table: folders, index_name(table): _write_index(publisher, table, pairs, version, spread=False)}
 
 
 def _held(publisher: Publisher, known: dict[str, str], pairs: DataFrame) -> DataFrame:
@@ -70,7 +86,13 @@ def _held(publisher: Publisher, known: dict[str, str], pairs: DataFrame) -> Data
 
 
 def merge_parts(
-    publisher: Publisher, table: str, batch: DataFrame, key: str, part: Column, version: int
+    publisher: Publisher,
+    table: str,
+    batch: DataFrame,
+    key: str,
+    part: Column,
+    version: int,
+    derived: Mapping[str, Column] | None = None,
 ) -> dict[str, Location]:
     """Delete+insert ``batch`` into a table stored by ``part``; returns the folders of it and its index.
 
@@ -80,21 +102,22 @@ def merge_parts(
     """
     index = index_name(table)
     if not publisher.exists(table):
-        return write_indexed(publisher, table, batch, key, part, version)
+        return write_indexed(publisher, table, batch, key, part, version, derived)
     published = publisher.parts(table)
     batch = materialize(batch, f"{table}_batch")
     pairs = materialize(_pairs(batch, key, part), f"{table}_batch_keys")
     if publisher.exists(index):
         known = publisher.parts(index)
     else:  # published before there was an index
-        known = _write_index(publisher, table, _pairs(publisher.read(table), key, part), 0)
+        pairs_before = _pairs(publisher.read(table), key, part)
+        known = _write_index(publisher, table, pairs_before, 0, spread=False)
     held = _held(publisher, known, pairs)
     # At most one row per part.
     touched = {r[0] for r in held.select(_AT).union(pairs.select(_AT)).distinct().collect()}
 
     rewritten = delete_insert(publisher.read(table, sorted(touched)), batch, key)
     kept = {name: path for name, path in published.items() if name not in touched}
-    folders = kept | publisher.write_parts(rewritten, table, version, part)
+    folders = kept | publisher.write_parts(rewritten, table, version, part, derived=derived)
     new = pairs.join(held, [_KEY, _AT], "left_anti")
     return {table: folders, index: _extend_index(publisher, table, known, new, version)}
 

@@ -22,6 +22,8 @@ from shopmart.sources.files import Folder
 
 _PART = "__part"
 _LOG = "_versions"
+#: Hashes and keys, which other codecs cannot make smaller, take half their length.
+_CODEC = "zstd"
 WHOLE = "all"
 #: The part of rows that have none.
 NO_PART = "__HIVE_DEFAULT_PARTITION__"
@@ -154,7 +156,7 @@ class Publisher:
     def write(self, df: DataFrame, table: str, version: int) -> str:
         """Write a whole table; invisible until committed."""
         path = self._folder(table, version)
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", _CODEC).parquet(path)
         return path
 
     def append(self, df: DataFrame, table: str, version: int) -> dict[str, str]:
@@ -171,18 +173,22 @@ class Publisher:
         part_of_row: Column,
         drop: Sequence[str] = (),
         spread: bool = True,
+        derived: Mapping[str, Column] | None = None,
     ) -> dict[str, str]:
         """Write one folder per value of the text column ``part_of_row``, without columns in ``drop``.
 
         ``spread``: rows are brought together by part first, and a part with many
         rows is split over several tasks and files. Otherwise tasks write what they have.
+        ``derived`` columns of ``df`` are not moved but computed again where rows are written.
         Rows without a part, or with an empty one, make up the part :data:`NO_PART`.
         """
         path = self._folder(table, version)
         split = df.withColumn(_PART, part_name(part_of_row)).drop(*drop)
+        columns = split.columns
         if spread:
-            split = split.hint("rebalance", F.col(_PART))
-        split.write.mode("overwrite").partitionBy(_PART).parquet(path)
+            split = split.drop(*(derived or ())).hint("rebalance", F.col(_PART))
+            split = split.withColumns(dict(derived or {})).select(*columns)
+        split.write.mode("overwrite").option("compression", _CODEC).partitionBy(_PART).parquet(path)
         # Folder names have some characters of the part encoded.
         start = f"{_PART}="
         names = [n for n in self._files.names(self._below_root(path)) if n.startswith(start)]

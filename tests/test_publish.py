@@ -170,3 +170,22 @@ def test_history_rewrites_the_buckets_that_change(frame, publisher, at_own_times
     # nothing new: nothing is written
     load([(keys[7], "sent")], "2018-01-02 00:00:00")
     assert publisher.read("h").count() == 302
+
+
+def test_derived_columns_are_not_moved(frame, publisher):
+    rows = frame([(1, "a", "x1"), (2, "b", "x2")], "id int, at string, h string")
+    moved = rows.withColumn("h", F.md5(F.col("id").cast("string"))).select("h", "id", "at")
+    folders = publisher.write_parts(moved, "t", 1, F.col("at"), derived={"h": F.md5(F.col("id").cast("string"))})
+    back = publisher.read_at(folders)
+    assert back.columns == ["h", "id", "at"] and sorted(back.collect()) == sorted(moved.collect())
+    assert set(folders) == {"a", "b"}
+
+
+def test_an_index_is_shuffled_once(frame, publisher):
+    rows = frame([(f"k{i % 50}", "a") for i in range(200)], "k string, at string")
+    pairs = published._pairs(rows, "k", F.col("at"))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert pairs.count() == 50 and set(pairs.columns) == {"__key", "__at", "__bucket"}
+    found = published.write_indexed(publisher, "t", rows, "k", F.col("at"), 1)
+    assert sorted(r[0] for r in publisher.read_at(found["t_keys"]).select("__key").collect()) == sorted({f"k{i}" for i in range(50)})
