@@ -9,6 +9,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shopmart.llm import phrases
@@ -77,6 +78,19 @@ def test_a_phrase_is_counted_for_one_cycle_from_its_activation():
     assert reached.steps(np.array([b]))[0] == 1
 
 
+def test_a_key_holds_all_of_a_phrase(spark):
+    """Counts are shuffled by one string, whatever is in the language or the phrase."""
+    rows = []
+    for lang in ("en", "", "e\nn\n001002x", " 001"):
+        words = pa.array(["a", "002 b", "\xa0\x1c", "a"], pa.large_string())
+        keys = phrases.keys_of(words, 2, np.array([0, 3, 12, 255]), lang)
+        rows += [(key, n) for n, key in enumerate(keys.to_pylist())]
+    got = phrases._named(spark.createDataFrame(rows, phrases._COUNTS)).collect()
+    want = [(lang, p, 2, start, n) for lang in ("en", "", "e\nn\n001002x", " 001")
+            for n, (p, start) in enumerate(zip(words.to_pylist(), (0, 3, 12, 255)))]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 def test_what_is_left_for_longer_phrases():
     reached = phrases.Reached(20)
     words = [b"a", b"b", b"c", b"x"]
