@@ -15,7 +15,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import ByteType, DataType, DecimalType, IntegerType, LongType, ShortType
+
+_WHOLE = (ByteType, ShortType, IntegerType, LongType)
 
 
 @dataclass(frozen=True)
@@ -31,13 +33,25 @@ class Keys:
     def same(self, other: Keys) -> bool:
         return self.table is other.table and self.columns == other.columns
 
-    def text(self, types: Sequence[DataType]) -> Column:
-        """The key as text, equal for equal keys of these types; NULL if all columns are."""
+    def key(self, types: Sequence[DataType]) -> dict[str, Column]:
+        """The key as columns ``a``, ``b`` and ``text``, equal for equal keys of these types.
+
+        Whole numbers, two at most, stay numbers, and text in hexadecimal digits takes half: keys are most of
+        what a summary shuffles.
+        """
         columns = [F.col(c).cast(t) for c, t in zip(self.columns, types)]
+        if len(columns) <= 2 and all(isinstance(t, _WHOLE) for t in types):
+            numbers = [c.cast("long") for c in (*columns, F.lit(None))[:2]]
+            return {"a": numbers[0], "b": numbers[1], "text": F.lit(None).cast("binary")}
         if len(columns) == 1:
-            return columns[0].cast("string")
-        named = [c.cast("string").alias(f"c{i}") for i, c in enumerate(columns)]
-        return F.when(F.coalesce(*named).isNotNull(), F.to_json(F.struct(*named)))
+            text = columns[0].cast("string")
+            digits = F.unhex(F.when(text.rlike("^[0-9a-f]+$") & (F.length(text) % 2 == 0), text))
+            text = F.coalesce(F.concat(F.lit(b"\x01"), digits), F.concat(F.lit(b"\x00"), F.encode(text, "UTF-8")))
+        else:
+            named = [c.cast("string").alias(f"c{i}") for i, c in enumerate(columns)]
+            text = F.encode(F.when(F.coalesce(*named).isNotNull(), F.to_json(F.struct(*named))), "UTF-8")
+        none = F.lit(None).cast("long")
+        return {"a": none, "b": none, "text": text}
 
 
 @dataclass(frozen=True)
@@ -49,7 +63,8 @@ class Check:
 
     The rest tells the summary how to count failures without ``rows``: rows of
     ``counted`` that break ``rule``; values of ``unique`` seen more than once; rows
-    (or ``distinct`` values, NULL being one) of ``child`` that ``parent`` has not.
+    (or ``distinct`` values, NULL being one) of ``child`` that ``parent`` has not; one
+    if the two ``sums``, each of a table's column, differ.
     """
 
     name: str
@@ -65,6 +80,7 @@ class Check:
     child: Keys | None = None
     parent: Keys | None = None
     distinct: bool = False
+    sums: tuple[tuple[DataFrame, str], ...] = ()
 
     def failing(self) -> DataFrame:
         return self.rows if self.fails is None else self.rows.filter(self.fails)
@@ -152,11 +168,18 @@ def _row(check: Check, failures: Column) -> Column:
     )
 
 
+def _adds_up(table: DataFrame, column: str) -> bool:
+    """Whether the column's sum fits the amounts of a suite unrounded."""
+    kind = table.schema[column].dataType
+    return isinstance(kind, DecimalType) and kind.scale <= 2 and kind.precision - kind.scale <= 36
+
+
 class _Suite:
     """The entries each table yields, and what they tell of each check.
 
     An entry is (domain, key, slot). The keys of a parent or of a unique check
-    are a domain with slot 0, its children have the slots from 1 on; a broken rule is a domain of its own, without a key.
+    are a domain with slot 0, its children have the slots from 1 on; a broken rule is a domain of its own, without a key,
+    and so is a column to add up, the only one with amounts.
     """
 
     def __init__(self) -> None:
@@ -164,13 +187,27 @@ class _Suite:
         self.slots: list[int] = []
         self.entries: dict[int, tuple[DataFrame, list[Column]]] = {}
         self.failures: list[tuple[Check, Column]] = []
+        self.adds = False
 
     def _yield(self, table: DataFrame, entry: Column) -> None:
         self.entries.setdefault(id(table), (table, []))[1].append(entry)
 
     @staticmethod
-    def _entry(domain: int, key: Column, slot: int) -> Column:
-        return F.struct(F.lit(domain).alias("domain"), key.alias("key"), F.lit(slot).alias("slot"))
+    def _entry(domain: int, key: dict[str, Column], slot: int, amount: Column | None = None) -> Column:
+        amount = F.lit(None) if amount is None else amount
+        columns = {"domain": F.lit(domain), **key, "slot": F.lit(slot), "amount": amount.cast("decimal(38, 2)")}
+        return F.struct(*[c.alias(name) for name, c in columns.items()])
+
+    _NO_KEY = {"a": "long", "b": "long", "text": "binary"}
+
+    def _own_domain(self) -> tuple[int, dict[str, Column]]:
+        self.domains.append((None, False))
+        self.slots.append(0)
+        return len(self.domains) - 1, {name: F.lit(None).cast(t) for name, t in self._NO_KEY.items()}
+
+    def _keyed(self, table: DataFrame, d: int, key: dict[str, Column], slot: int, with_nulls: bool) -> None:
+        entry = self._entry(d, key, slot)
+        self._yield(table, entry if with_nulls else F.when(reduce(Column.__or__, [c.isNotNull() for c in key.values()]), entry))
 
     def _domain(self, keys: Keys, with_nulls: bool) -> int:
         for d, (known, nulls) in enumerate(self.domains):
@@ -178,9 +215,8 @@ class _Suite:
                 return d
         self.domains.append((keys, with_nulls))
         self.slots.append(0)
-        d, key = len(self.domains) - 1, keys.text(keys.types())
-        key = F.coalesce(key, F.lit("")) if with_nulls else key
-        self._yield(keys.table, F.when(key.isNotNull(), self._entry(d, key, 0)))
+        d = len(self.domains) - 1
+        self._keyed(keys.table, d, keys.key(keys.types()), 0, with_nulls)
         return d
 
     def add(self, check: Check) -> bool:
@@ -192,19 +228,26 @@ class _Suite:
         elif check.child is not None and check.parent is not None:
             d = self._domain(check.parent, check.distinct)
             self.slots[d] += 1
-            slot, key = self.slots[d], check.child.text(check.parent.types())
-            key = F.coalesce(key, F.lit("")) if check.distinct else key
-            self._yield(check.child.table, F.when(key.isNotNull(), self._entry(d, key, slot)))
+            slot, key = self.slots[d], check.child.key(check.parent.types())
+            self._keyed(check.child.table, d, key, slot, check.distinct)
             orphans = f"{'lost' if check.distinct else 'orphans'}{slot}"
             self.failures.append((check, F.sum(F.when(at == d, F.col(orphans)))))
+        elif check.sums:
+            if not all(_adds_up(table, column) for table, column in check.sums):
+                return False
+            told = []
+            for table, column in check.sums:
+                d, key = self._own_domain()
+                self._yield(table, self._entry(d, key, 0, F.col(column)))
+                told.append(F.sum(F.when(at == d, F.col("total"))))
+            self.adds = True
+            self.failures.append((check, F.when(told[0] != told[1], 1)))
         else:
             table, rule = (check.counted, check.rule) if check.rule is not None else (check.rows, check.fails)
             if rule is None:
                 return False
-            self.domains.append((None, False))
-            self.slots.append(0)
-            d = len(self.domains) - 1
-            self._yield(table, F.when(rule, self._entry(d, F.lit("").cast("string"), 0)))
+            d, key = self._own_domain()
+            self._yield(table, F.when(rule, self._entry(d, key, 0)))
             self.failures.append((check, F.sum(F.when(at == d, F.col("own")))))
         return True
 
@@ -216,7 +259,9 @@ class _Suite:
         ]
         entries = reduce(DataFrame.unionAll, told)
         counts = [F.count_if(F.col("slot") == j).alias(f"s{j}") for j in range(max(self.slots) + 1)]
-        counted = entries.groupBy("domain", "key").agg(*counts)
+        # Only where it is asked for: a sum widens every row.
+        amount = F.sum("amount") if self.adds else F.lit(None).cast("decimal(38, 2)")
+        counted = entries.groupBy("domain", *self._NO_KEY).agg(*counts, amount.alias("amount"))
         orphans = [
             aggregate
             for j in range(1, max(self.slots) + 1)
@@ -227,7 +272,7 @@ class _Suite:
         ]
         # One row per domain, of which there are no more than checks.
         counted = counted.groupBy("domain").agg(
-            F.sum("s0").alias("own"), F.count_if(F.col("s0") > 1).alias("repeated"), *orphans
+            F.sum("s0").alias("own"), F.count_if(F.col("s0") > 1).alias("repeated"), F.sum("amount").alias("total"), *orphans
         )
         results = F.array(*[_row(c, F.coalesce(failures, F.lit(0))) for c, failures in self.failures])
         return counted.agg(results.alias("all")).select(F.inline("all"))

@@ -36,7 +36,7 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
         F.count("*").alias("payments_count"),
         F.max("payment_installments").alias("max_installments"),
         F.bool_or(F.col("payment_type") == "voucher").alias("used_voucher"),
-        F.min_by("payment_type", largest_first).alias("main_payment_type"),
+        F.min(largest_first)["payment_type"].alias("main_payment_type"),
     )
 
 

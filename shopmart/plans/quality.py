@@ -244,7 +244,11 @@ def revenue_reconciles(fct_order_items: DataFrame, fct_orders: DataFrame) -> Che
     items = fct_order_items.agg(F.sum("revenue").alias("items_revenue"))
     orders = fct_orders.agg(F.sum("revenue").alias("orders_revenue"))
     differ = items.crossJoin(F.broadcast(orders)).filter("items_revenue <> orders_revenue")
-    return Check("revenue_reconciles_between_facts", differ)
+    return Check(
+        "revenue_reconciles_between_facts",
+        differ,
+        sums=((fct_order_items, "revenue"), (fct_orders, "revenue")),
+    )
 
 
 def source_profile(raw: Mapping[str, DataFrame], stg: Mapping[str, DataFrame]) -> DataFrame:
