@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import slices, table, texts
+from shopmart.llm.common import give_back, slices, table, texts
 from shopmart.llm.components import components
 from shopmart.session import materialize
 
@@ -75,6 +75,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE, o
                 found = np.array([fingerprint(t, shingle) for t in texts(batch)], np.uint64)
                 columns = [batch.column("id"), pa.array(found.view(np.int64)), *map(batch.column, others)]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "fp", *others])
+        give_back()
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), *others)
     return rows.mapInArrow(run, ", ".join(f"{c} long" for c in ("id", "fp", *others)))

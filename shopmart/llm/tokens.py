@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import slices, table, texts
+from shopmart.llm.common import give_back, slices, table, texts
 from shopmart.session import checkpoint_dir
 
 BLOCK = 1 << 16
@@ -171,10 +171,11 @@ class Encoder:
 
     Latin letters, with a blank before them or none, are one unit of the pre-tokenizer
     already and are encoded without it. Pieces are kept in two generations of at most
-    ``most``, so that memory is bounded and frequent ones stay.
+    ``most``, so that memory is bounded and frequent ones stay. Between tasks only the first
+    ``rested`` are held, among which are the frequent ones: a worker may not get another task.
     """
 
-    def __init__(self, vocabulary: str, most: int = 600_000) -> None:
+    def __init__(self, vocabulary: str, most: int = 600_000, rested: int = 100_000) -> None:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -188,6 +189,11 @@ class Encoder:
         self.known: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.most = most
+        self.rested = rested
+
+    def rest(self) -> None:
+        """Hold little until the next task."""
+        self.known, self.old = dict(itertools.islice(self.known.items(), self.rested)), {}
 
     def encode(self, rows: list[str]) -> list[np.ndarray]:
         whole = [self.is_whole(t) is not None for t in rows]
@@ -277,9 +283,13 @@ def write_tokens(
                     writer = ShardWriter(files.open_output_stream(own, compression=None), planes)
                 for i, ids in zip(batch.column("id").to_pylist(), encoder.encode(texts(batch))):
                     writer.add(i, ids)
+            give_back()
         if writer is not None:
             writer.close()
             files.move(own, name)
+            encoder.rest()
+            del whole, batch, ids
+            give_back()
             yield pa.RecordBatch.from_pydict(
                 {"shard": pa.array([shard], pa.int32()), "path": [name], "docs": [len(writer.docs)], "ids": [writer.n_ids]}
             )
@@ -311,6 +321,8 @@ def read_digests(spark: SparkSession, folder: str, shards: list[tuple[int, str,
                 for at in range(0, len(found), 10_000):
                     columns = [pa.array(c, pa.int64()) for c in zip(*found[at : at + 10_000])]
                     yield pa.RecordBatch.from_arrays(columns, ["id", "start", "n_tokens", "ids_crc32"])
+                del found
+                give_back()
 
     return listed.mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
 

@@ -146,6 +146,30 @@ def test_words_and_marks_are_encoded_as_by_the_library(text):
     assert ids.tolist() == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
 
 
+def _held_mb():
+    text = open("/proc/self/smaps_rollup").read()
+    return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", text))) / 1024
+
+
+def test_a_worker_holds_little_between_tasks():
+    """What the pipeline's next stages would have to share an executor with."""
+    import public_tokenizers
+
+    name = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = tokens.Encoder(name, rested=1_000)
+    common.give_back()
+    began = _held_mb()
+    rows = [" ".join(f"w{i}x{k}" for i in range(4_000)) for k in range(100)]
+    want = [ids.tolist() for ids in encoder.encode(rows[:1])]
+    encoder.encode(rows)
+    encoder.rest()
+    common.give_back()
+    assert len(encoder.known) <= 1_000 and not encoder.old
+    assert _held_mb() - began < 60
+    assert [ids.tolist() for ids in encoder.encode(rows[:1])] == want
+
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(pieces, max_size=20).map("".join), max_size=4))
 def test_encoder_equals_the_library(rows):
